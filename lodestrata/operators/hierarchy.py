@@ -60,6 +60,7 @@ def lineages(nodes: DataFrame, links: DataFrame) -> DataFrame:
     single = links.where("node is not null and parent is not null").groupBy("tab", "node").agg(F.min("parent").alias("anc"))
     local = single.repartition("tab", "node").mapInPandas(_local_forest, _POINTER)
     pointers = cut_lineage(local.withColumn("done", F.lit(False)))
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     left = pointers.count()
     while left:
         target = pointers.select("tab", F.col("node").alias("anc"), F.col("anc").alias("anc2"), F.col("off").alias("off2"), F.col("way").alias("way2"), F.col("done").alias("done2"))
@@ -68,8 +69,8 @@ def lineages(nodes: DataFrame, links: DataFrame) -> DataFrame:
             "tab", "node", F.coalesce("anc2", "anc").alias("anc"), (F.col("off") + F.coalesce("off2", F.lit(0))).alias("off"),
             F.concat_ws(SEPARATOR, "way2", "way").alias("way"), F.coalesce("done2", F.lit(True)).alias("done"),
         )
-        # A pointer that stays in a loop needs no growing way; it is cut before it can double without end.
-        pointers = cut_lineage(pointers.where("done").unionByName(moved))
+        # Unions add up partitions; without coalesce their number would double with each round.
+        pointers = cut_lineage(pointers.where("done").unionByName(moved).coalesce(parts))
         now = pointers.where(~F.col("done")).count()
         if now == left:
             break
