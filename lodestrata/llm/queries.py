@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import consensus, packing, tokenizer
+from . import boilerplate, consensus, packing, tokenizer
 
 
 def _ranked(spark: SparkSession, folder: str) -> tuple[DataFrame, dict]:
@@ -39,6 +39,10 @@ def p4_records(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("id", "canonical_name", "organization", "status", "confidence", "updated_at")
 
 
+def p7_found(spark: SparkSession, folder: str) -> DataFrame:
+    return boilerplate.outside_lines(table(spark, folder, "documents"))
+
+
 def p8_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenizer.encode(table(spark, folder, "documents"))
 
@@ -69,5 +73,5 @@ union all select id, 'confidence', arg_min(model_row, (-c, model_row)) from m se
 union all select id, 'updated_at', arg_min(model_row, (-epoch_us(u), model_row)) from m semi join twice using (id) where u is not null group by id
 """
 
-QUERIES = {"p4_found": p4_found, "p4_records": p4_records, "p8_ids": p8_ids, "p9_items": p9_items, "p9_fill": p9_fill}
+QUERIES = {"p4_found": p4_found, "p4_records": p4_records, "p7_found": p7_found, "p8_ids": p8_ids, "p9_items": p9_items, "p9_fill": p9_fill}
 ORACLES = {"p4_found": _P4}
