@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import boilerplate, consensus, packing, tokenizer
+from . import boilerplate, consensus, packing, tokenizer, truncation
 
 
 def _ranked(spark: SparkSession, folder: str) -> tuple[DataFrame, dict]:
@@ -61,6 +61,15 @@ def p9_fill(spark: SparkSession, folder: str) -> DataFrame:
     return used.groupBy("container", "capacity").agg(F.count("*").alias("bins"), F.sum("used").alias("tokens")).withColumn("fill", F.round(F.col("tokens") / F.col("bins") / F.col("capacity"), 4))
 
 
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.truncated(table(spark, folder, "documents")).select("doc_id")
+
+
+def p10_rates(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return truncation.truncation_rates(documents, truncation.truncated(documents))
+
+
 _P4 = """
 with m as (
   select *, list_position(['stub', 'candidate', 'documented', 'released'], lower(trim(status))) s,
@@ -73,5 +82,5 @@ union all select id, 'confidence', arg_min(model_row, (-c, model_row)) from m se
 union all select id, 'updated_at', arg_min(model_row, (-epoch_us(u), model_row)) from m semi join twice using (id) where u is not null group by id
 """
 
-QUERIES = {"p4_found": p4_found, "p4_records": p4_records, "p7_found": p7_found, "p8_ids": p8_ids, "p9_items": p9_items, "p9_fill": p9_fill}
+QUERIES = {"p4_found": p4_found, "p4_records": p4_records, "p7_found": p7_found, "p8_ids": p8_ids, "p9_items": p9_items, "p9_fill": p9_fill, "p10_found": p10_found, "p10_rates": p10_rates}
 ORACLES = {"p4_found": _P4}
