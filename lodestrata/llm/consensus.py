@@ -15,6 +15,7 @@ from collections.abc import Mapping
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.instants import normal_instants
 from ..operators.skew import lookup_join
@@ -95,12 +96,12 @@ def distance(a: list[str], b: list[str]) -> int:
     return row[-1]
 
 
-@F.pandas_udf("array<struct<place:int,extra:int,token:string>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("place", T.IntegerType()), T.StructField("extra", T.IntegerType()), T.StructField("token", T.StringType())])))
 def _votes(value: pd.Series, anchor: pd.Series) -> pd.Series:
     return pd.Series([[{"place": p, "extra": e, "token": t} for p, e, t in align(tokens(a), tokens(v))] for v, a in zip(value, anchor)])
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def _distance(value: pd.Series, consensus: pd.Series) -> pd.Series:
     return pd.Series([distance(tokens(v), [] if c is None else list(c)) for v, c in zip(value, consensus)], dtype="int32")
 
