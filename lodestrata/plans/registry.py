@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import feed_queries, hierarchy_queries, instant_queries, packed_queries
+from . import feed_queries, hierarchy_queries, instant_queries, packed_queries, registry_queries
 
-MODULES = [packed_queries, feed_queries, instant_queries, hierarchy_queries]
+MODULES = [packed_queries, feed_queries, instant_queries, hierarchy_queries, registry_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
