@@ -71,7 +71,7 @@ def test_urls(spark):
     said = "See https://a.test/x for more. The official implementation is at https://a.test/y, model weights: https://a.test/z and https://a.test/x"
     assert [(u, urls.relation_of(said, a, b)) for u, a, b in urls.mentions(said)] == [("https://a.test/x", "embedded"), ("https://a.test/y", "official_implementation"), ("https://a.test/z", "weights")]
     assert [urls.repository_name(u) for u in ("git@github.com:o/r.git", "https://github.com/o/r/", "ssh://git@github.com:22/o/r", "https://u@github.com/o/r", "https://github.com/o/r/x", "https://gitlab.com/o/r", "http://github.com:81/o/r")] == ["o/r"] * 3 + [None] * 4
-    assert [urls.doi_in(t) for t in ("x (10.5555/Ab(1)).", "10.5555/a,", "none", "[10.1234/x]")] == ["10.5555/ab(1)", "10.5555/a", None, "10.1234/x"]
+    assert [urls.doi_in(t) for t in ("x 10.5555/Ab(1)x.", "10.5555/a,", "none", "[10.1234/x]")] == ["10.5555/ab(1)x", "10.5555/a", None, "10.1234/x"]
     assert urls.artifact_urls("doi:10.5555/q https://github.com/o/r https://www.w3.org/x https://github.com/o/r") == ["https://doi.org/10.5555/q", "https://github.com/o/r"]
     df = spark.createDataFrame([("arxiv", "2401.01234v2"), ("DOI", "10.5555/x"), ("doi", "11.1/x"), ("pubmed", "012"), ("PMCID", "77"), ("acl", "P19-1001"), ("dblp", "conf/x/Y"), ("mag", "1")], "s string, v string")
     assert [r[0] for r in df.select(urls.external_id_url(F.col("s"), F.col("v"))).collect()] == [
