@@ -84,17 +84,21 @@ def components(members: DataFrame) -> DataFrame:
 
 
 def agg_entry_merge(candidates: DataFrame) -> DataFrame:
-    """component, canonical_name, identifiers, aliases, members: one entry per component.
+    """component, canonical_name, identifiers, aliases, members: one entry per component, members their number.
 
     candidates has component, name, normalized_name, source, source_record_id, local_id, identifiers (array of text). The
     canonical name is the first by (has identifiers, normalized name, name, source, record, local id).
+    The arrays hold distinct values; the members themselves are rows, see entry_members.
     """
     order = F.struct((F.size("identifiers") == 0).alias("a"), "normalized_name", "name", "source", "source_record_id", "local_id")
-    member = F.concat_ws("/", "source", "source_record_id", "local_id")
-    return candidates.groupBy("component").agg(
-        F.min_by("name", order).alias("canonical_name"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("identifiers")))).alias("identifiers"),
-        F.array_sort(F.collect_set("name")).alias("aliases"), F.array_sort(F.collect_set(member)).alias("members"),
-    )
+    heads = candidates.groupBy("component").agg(F.min_by("name", order).alias("canonical_name"), F.array_sort(F.collect_set("name")).alias("aliases"))
+    ids = candidates.select("component", F.explode("identifiers").alias("i")).groupBy("component").agg(F.array_sort(F.collect_set("i")).alias("identifiers"))
+    members = entry_members(candidates).groupBy("component").agg(F.count("*").alias("members"))
+    return heads.join(ids, "component", "left").join(members, "component").withColumn("identifiers", F.coalesce("identifiers", F.array().cast("array<string>")))
+
+
+def entry_members(candidates: DataFrame) -> DataFrame:
+    return candidates.select("component", "source", "source_record_id", "local_id").distinct()
 
 
 def entry_id(anchors: Column) -> Column:
@@ -129,9 +133,19 @@ def citations_closed(links: DataFrame, owners: DataFrame) -> DataFrame:
 
 
 def evidence_attach(evidence: DataFrame, candidates: DataFrame) -> DataFrame:
-    """evidence (record, identifier, url, relation) of weights with candidate, where the record's identifiers lead to exactly one candidate of another record."""
-    met = evidence.join(candidates.select("identifier", "candidate", F.col("record").alias("owner")), "identifier").where("record <> owner")
-    single = unique_owner(met, ["record"], "candidate")
+    """evidence (record, identifier, url, relation) of weights with candidate, where the record's identifiers lead to exactly one candidate of another record.
+
+    An identifier in the candidates of three records leads to two others whatever the record, so only
+    the least and greatest candidate of up to two records of each identifier are met, never all pairs.
+    """
+    owned = candidates.groupBy("identifier", F.col("record").alias("owner")).agg(F.min("candidate").alias("low"), F.max("candidate").alias("high"))
+    sizes = owned.groupBy("identifier").agg(F.count("*").alias("owners"))
+    few = owned.join(sizes.where("owners <= 2"), "identifier")
+    many = sizes.where("owners > 2").select("identifier", F.lit(True).alias("many"))
+    asked = evidence.select("record", "identifier").distinct()
+    ambiguous = asked.join(many, "identifier").select("record").distinct()
+    met = asked.join(few, "identifier").where("record <> owner").groupBy("record").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    single = met.where("low = high").join(ambiguous, "record", "left_anti").select("record", F.col("low").alias("candidate"))
     return evidence.where(F.lower("relation").isin(*WEIGHT_RELATIONS)).join(single, "record").select("record", "url", "relation", "candidate").distinct()
 
 

@@ -38,7 +38,8 @@ def join_discovery_evidence(discoveries: DataFrame, evidence: DataFrame) -> Data
 def join_url_targets(mentions: DataFrame, targets: DataFrame) -> DataFrame:
     """mentions (artifact_id, url) with target_id: one row per artifact that owns the URL, canonical addresses before aliases, no self edges.
 
-    targets has url, artifact_id and rank (0 for a canonical URL, 1 for an identifier's alias).
+    targets has url, artifact_id and rank (0 for a canonical URL, 1 for an identifier's alias). A row per
+    mention and owner is what is asked for; owners of one URL are few, mentions may be many.
     """
     best = targets.groupBy("url", "artifact_id").agg(F.min("rank").alias("rank")).select("url", F.col("artifact_id").alias("target_id"), "rank")
     return mentions.join(best, "url").where(F.col("artifact_id") != F.col("target_id"))
@@ -93,10 +94,5 @@ def join_ordinal_merge(documents: DataFrame, candidates: DataFrame, relations: D
     return both.where("candidates > 0 or relations > 0")
 
 
-def set_edges(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Artifacts that share a key, both directions, without self edges; keys should be selective."""
-    return left.select(key, F.col("artifact_id").alias("source_id")).join(right.select(key, F.col("artifact_id").alias("target_id")), key).where("source_id <> target_id").distinct()
-
-
 def row_number_first(df: DataFrame, partition: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("rn_", F.row_number().over(W.partitionBy(*partition).orderBy(*order))).where("rn_ = 1").drop("rn_")

@@ -97,9 +97,12 @@ def resolve_model(hints: DataFrame, claims: DataFrame, artifacts: DataFrame) ->
     batch that share an unbound first identifier meet in the same new id.
     """
     current = artifacts.where("active = 1").select(F.col("current_revision_id").alias("artifact_revision_id"))
-    bound = claims.where("resolution_status = 'bound'").join(current, "artifact_revision_id", "left_semi").select(F.concat_ws(":", F.lower("namespace"), "value").alias("identifier"), "model_id").distinct()
+    bound = claims.where("resolution_status = 'bound'").join(current, "artifact_revision_id", "left_semi").select(F.concat_ws(":", F.lower("namespace"), "value").alias("identifier"), "model_id")
+    # Of an identifier's models the least and the greatest tell whether there is one, without pairing claims with hints.
+    bound = bound.groupBy("identifier").agg(F.min("model_id").alias("low"), F.max("model_id").alias("high"))
     each = hints.select("artifact_id", "local_id", F.explode("identifiers").alias("identifier"))
-    found = each.join(bound, "identifier").groupBy("artifact_id", "local_id").agg(F.count_distinct("model_id").alias("n"), F.min("model_id").alias("found"))
+    found = each.join(bound, "identifier").groupBy("artifact_id", "local_id").agg(F.min("low").alias("found"), F.max("high").alias("high"))
+    found = found.withColumn("n", F.when(F.col("found") == F.col("high"), 1).otherwise(2)).drop("high")
     met = hints.join(found, ["artifact_id", "local_id"], "left")
     first = F.get(F.array_sort("identifiers"), 0)
     scoped = stable_id("model", F.col("artifact_id"), F.col("local_id"))
@@ -122,8 +125,9 @@ def resolve_relation(relations: DataFrame, subjects: DataFrame, bound: DataFrame
     """relations (record, subject_local_id, target_identifiers) with subject_model_id, target_model_id and resolution_status."""
     subject = subjects.select("record", F.col("local_id").alias("subject_local_id"), F.col("model_id").alias("subject_model_id"))
     keyed = relations.withColumn("row_", F.monotonically_increasing_id())
-    targets = keyed.select("row_", F.explode("target_identifiers").alias("identifier")).join(bound.select("identifier", "model_id"), "identifier")
-    found = targets.groupBy("row_").agg(F.count_distinct("model_id").alias("n"), F.min("model_id").alias("one"))
+    known = bound.groupBy("identifier").agg(F.min("model_id").alias("low"), F.max("model_id").alias("high"))
+    targets = keyed.select("row_", F.explode("target_identifiers").alias("identifier")).join(known, "identifier")
+    found = targets.groupBy("row_").agg(F.min("low").alias("one"), F.max("high").alias("high")).withColumn("n", F.when(F.col("one") == F.col("high"), 1).otherwise(2)).drop("high")
     met = keyed.join(subject, ["record", "subject_local_id"], "left").join(found, "row_", "left")
     status = F.when(F.col("subject_model_id").isNull(), "unresolved_subject").when(F.col("n") > 1, "conflicting_target_identifiers").when(F.col("n").isNull(), "unresolved_target").otherwise("resolved")
     return met.withColumns({"target_model_id": F.when(F.col("n") == 1, F.col("one")), "resolution_status": status}).drop("row_", "n", "one")

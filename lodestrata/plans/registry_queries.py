@@ -289,10 +289,11 @@ def join_discovery_evidence(spark, folder):
 _PLAIN_URL = "regexp_replace(regexp_replace(source_url, '[?#].*$', ''), '/$', '')"
 
 
-@query(f"with u as (select doc_id, {_PLAIN_URL} url from documents) select a.doc_id artifact_id, a.url, b.doc_id target_id from u a join u b using (url) where a.doc_id <> b.doc_id")
+@query(f"with u as (select doc_id, {_PLAIN_URL} url from documents), t as (select url, min(doc_id) target_id from u group by all) select doc_id artifact_id, url, target_id from u join t using (url) where doc_id <> target_id")
 def join_url_targets(spark, folder):
     pages = table(spark, folder, "documents").select(F.col("doc_id").alias("artifact_id"), F.expr(_PLAIN_URL).alias("url"))
-    return relations.join_url_targets(pages, pages.withColumn("rank", F.lit(0))).select("artifact_id", "url", "target_id")
+    owners = pages.groupBy("url").agg(F.min("artifact_id").alias("artifact_id")).withColumn("rank", F.lit(0))  # the first crawl owns a URL
+    return relations.join_url_targets(pages, owners).select("artifact_id", "url", "target_id")
 
 
 @query(f"with u as (select doc_id, {_PLAIN_URL} url from documents), f as (select url, min(doc_id) url_id from u group by all) select doc_id, url_id from u join f using (url)")
@@ -350,8 +351,8 @@ select a.id source_id, count(*) shared from h a join h b on a.file = b.file and
 def join_connected_artifacts(spark, folder):
     hub = table(spark, folder, "source_huggingface_page1").select(F.col("id").alias("artifact_id"), F.explode("siblings.rfilename").alias("file")).where("file like '%.safetensors'").distinct()
     keyed = hub.withColumn("key", F.concat_ws("/", F.element_at(F.split("artifact_id", "/"), 1), "file"))
-    pairs = keyed.select("key", F.col("artifact_id").alias("source_id")).join(keyed.select("key", F.col("artifact_id").alias("target_id")), "key").where("source_id <> target_id")
-    return pairs.groupBy("source_id").agg(F.count("*").alias("shared"))
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")  # an artifact meets all others of a key: counted, not paired
+    return keyed.join(sizes, "key").groupBy(F.col("artifact_id").alias("source_id")).agg(F.sum(F.col("n") - 1).alias("shared"))
 
 
 @query("select m.id, count(distinct a.model_row) declared, count(distinct a.canonical_name) names from (select distinct id from models where status = 'released') m join models a using (id) group by all")
@@ -500,7 +501,7 @@ def agg_entry_merge(spark, folder):
         F.lit("").alias("local_id"), F.array("id").alias("identifiers"),
     )
     merged = entries.agg_entry_merge(c)
-    return merged.select("component", "canonical_name", F.array_join("aliases", "|").alias("aliases"), F.size("members").cast("long").alias("members"))
+    return merged.select("component", "canonical_name", F.array_join("aliases", "|").alias("aliases"), "members")
 
 
 @query("""select id, 'entry:' || sha256('{"anchors":["' || id || '"]}') entry from (select distinct id from models where id is not null)""")
@@ -537,13 +538,12 @@ def join_citations_closed(spark, folder):
     return entries.citations_closed(links, pages)
 
 
-@query("with c as (select id identifier, model_row candidate from models where status = 'released'), o as (select identifier, min(candidate) candidate from c group by all having count(distinct candidate) = 1) select m.model_row record, o.candidate from models m join o on o.identifier = m.id where m.model_row <> o.candidate")
+@query("with c as (select id identifier, model_row candidate from models where status = 'released'), p as (select m.model_row record, c.candidate from models m join c on c.identifier = m.id where m.model_row <> c.candidate) select record, min(candidate) candidate from p group by all having count(distinct candidate) = 1")
 def join_evidence_attach(spark, folder):
     models = table(spark, folder, "models")
     evidence = models.select(F.col("model_row").alias("record"), F.col("id").alias("identifier"), F.lit("u").alias("url"), F.lit("weights").alias("relation"))
     owners = models.where("status = 'released'").select(F.col("id").alias("identifier"), F.col("model_row").alias("candidate"), F.col("model_row").alias("record"))
-    single = entries.unique_owner(owners, ["identifier"], "candidate").withColumn("record", F.col("candidate"))
-    return entries.evidence_attach(evidence, single).select("record", "candidate")
+    return entries.evidence_attach(evidence, owners).select("record", "candidate")
 
 
 @query("with u as (select id identifier, min(model_row) entry from models where id is not null group by all having count(distinct model_row) = 1) select m.model_row record, u.entry target_entry from models m left join u on u.identifier = m.id")
