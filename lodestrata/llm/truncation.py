@@ -1,8 +1,8 @@
 """Texts cut off by field limits or in transfer (problem 10).
 
-Near-copies come first: bodies that share a band of their min-hash signature are paired with the
-longest of the band, verified on their five-word shingles and aligned; a copy whose end lies inside
-the longer one was cut. A record without such a copy is judged by its end: does its source pile up
+Near-copies come first: bodies that share a band of their min-hash signature are paired with every
+longer one of the band, verified on their five-word shingles and aligned; a copy whose end lies inside
+a longer one was cut. A record without such a copy is judged by its end: does its source pile up
 texts of exactly one length, does it end in a cut character or a mark of omission, and does its last
 line close as complete lines do - a sentence by its mark, any other line by a wording and a closing
 word that complete lines of the corpus have.
@@ -117,7 +117,7 @@ class Signer:
         return [k if n else [] for k, n in zip(keys.view(np.int64).tolist(), sizes)]
 
 
-_ENDS = "key {kind}, source string, digest long, body_digest long, chars long, octets long, body_chars long, body_octets long, words long, marked boolean, sentence boolean, shape long, closer string, lines array<struct<shape:long,closer:string>>, bands array<long>"
+_ENDS = "key {kind}, source string, digest long, body_digest long, chars long, octets long, body_chars long, body_octets long, words long, tail long, marked boolean, sentence boolean, shape long, closer string, lines array<struct<shape:long,closer:string>>, bands array<long>"
 
 
 def _ends(judge: Pages, batch: pa.RecordBatch, constants: list[set[int]]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +158,7 @@ def _ends(judge: Pages, batch: pa.RecordBatch, constants: list[set[int]]) -> Ite
         bounds.append(len(shapes))
         words, whole, part = body.split(), text.encode("utf-8", "surrogatepass"), body.encode("utf-8", "surrogatepass")
         rows.append((
-            source, _hash(whole), _hash(part), len(text), len(whole), len(body), len(part), len(words), marked,
+            source, _hash(whole), _hash(part), len(text), len(whole), len(body), len(part), len(words), _hash(" ".join(words[-WORDS - 1 :])) if len(words) > WORDS else 0, marked,
             bool(_SENTENCE.search(last)) and dots is None or bool(_LINK.match(last.strip())) or len(words) <= 2 and not marked, 0 if dots else shape(last) if 0 < len(last) <= LONGEST_FORM else -1,
             "..." + dots[1] if dots else closing(last),
         ))
@@ -168,8 +168,8 @@ def _ends(judge: Pages, batch: pa.RecordBatch, constants: list[set[int]]) -> Ite
             signed += sign.bands(waiting)
             waiting, pending = [], 0
     signed += sign.bands(waiting) if waiting else []
-    names = "source digest body_digest chars octets body_chars body_octets words marked sentence shape closer".split()
-    kinds = [pa.string(), *[pa.int64()] * 7, pa.bool_(), pa.bool_(), pa.int64(), pa.string()]
+    names = "source digest body_digest chars octets body_chars body_octets words tail marked sentence shape closer".split()
+    kinds = [pa.string(), *[pa.int64()] * 8, pa.bool_(), pa.bool_(), pa.int64(), pa.string()]
     columns = list(zip(*rows)) if rows else [[] for _ in names]
     lines = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays([pa.array(shapes, pa.int64()), pa.array(closers, pa.string())], ["shape", "closer"]))
     yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(kept_rows, pa.int32())), *[pa.array(list(c), k) for c, k in zip(columns, kinds)], lines, pa.array(signed, pa.list_(pa.int64()))], ["key", *names, "lines", "bands"])
@@ -226,13 +226,16 @@ def _line_closings(ends: DataFrame, least: float = 2e-5) -> tuple[DataFrame, Dat
 
 
 def _cut_copies(ends: DataFrame, pages: DataFrame, wrapper: Wrapper) -> DataFrame:
-    """body_digest of the bodies whose alignment with a longer near-copy ends early. Equal bodies stand for one."""
-    single = ends.where(F.size("bands") > 0).groupBy("body_digest").agg(F.min("key").alias("key"), F.max("words").alias("words"), F.first("bands").alias("bands"))
-    slots = single.select("body_digest", "key", "words", F.explode("bands").alias("band"))
-    tops = cut_lineage(slots.groupBy("band").agg(F.max(F.struct("words", "key", "body_digest")).alias("top"), F.count("*").alias("n")).where("n > 1").drop("n"))
-    # Texts of a similarity of 0.8 differ by a fifth in length at most; words may repeat, hence the margin.
-    pairs = slots.join(tops, "band").where("body_digest <> top.body_digest and words >= 0.75 * top.words")
-    pairs = cut_lineage(pairs.select("key", "body_digest", F.col("top.key").alias("longer")).distinct())
+    """body_digest of the bodies whose alignment with any longer near-copy ends early. Equal bodies stand for one."""
+    single = ends.where(F.size("bands") > 0).groupBy("body_digest").agg(F.min("key").alias("key"), F.max("words").alias("words"), F.max("body_chars").alias("chars"), F.first("tail").alias("tail"), F.first("bands").alias("bands"))
+    slots = single.select("body_digest", "key", "words", "chars", "tail", F.explode("bands").alias("band"))
+    shared = slots.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    met = cut_lineage(slots.join(cut_lineage(shared), "band"))
+    wholes = met.select("band", F.col("key").alias("longer"), F.col("words").alias("most"), F.col("chars").alias("most_chars"), F.col("tail").alias("other_tail"))
+    # Every text meets all longer ones of its band; of equal word counts the one of fewer characters may be cut. Texts of the same
+    # last six words end together. Texts of a similarity of 0.8 differ by a fifth in length at most; words may repeat, hence the margin.
+    pairs = met.join(wholes, "band").where("(words < most or words = most and chars < most_chars) and words >= 0.75 * most and (tail = 0 or tail <> other_tail)")
+    pairs = cut_lineage(pairs.select("key", "body_digest", "longer").distinct())
     wanted = pairs.select("key").unionByName(pairs.select(F.col("longer").alias("key"))).distinct()
     bodies = map_pages(cut_lineage(pages.join(wanted, "key", "left_semi")), wrapper, body_rows, f"key {dict(pages.dtypes)['key']}, body string")
     bodies = cut_lineage(bodies)
@@ -262,7 +265,7 @@ def ends_early(short: list[str], whole: list[str]) -> bool:
     # What follows in whole must be more than the word left off above.
     rest = whole[at + WORDS :]
     last = short[-1] if len(short) > WORDS else ""
-    return len(rest) > 1 or (len(rest) == 1 and rest[0] != last)
+    return len(rest) > 1 or (len(rest) == 1 and rest[0] != last and rest[0].startswith(last))
 
 
 def truncated(df: DataFrame, key: str = "doc_id", text: str = "text", url: str = "source_url", lang: str = "lang", source: str = "source") -> DataFrame:

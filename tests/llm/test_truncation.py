@@ -59,3 +59,27 @@ def test_ends_early():
     words = [f"w{i}" for i in range(100)]
     assert t.ends_early(words[:90], words) and t.ends_early(words[:90] + ["w9"], words)
     assert not t.ends_early(words, words) and not t.ends_early(words[:99] + ["w99"], words) and not t.ends_early([f"x{i}" for i in range(90)], words)
+
+
+def copies(spark, texts):
+    """doc_ids found as copies; texts end in a full stop unless cut, and their sources have no length limit."""
+    rows = [(i, text, f"s{i}", f"https://s{i}.test/{i}", "en", "") for i, text in enumerate(texts)]
+    return {r["doc_id"] for r in t.truncated(spark.createDataFrame(rows, SCHEMA)).where("reason = 'copy'").collect()}
+
+
+def test_every_longer_text_of_a_band_is_a_partner(spark):
+    texts, cut = [], set()
+    for n in range(6):
+        words = [f"v{n}x{i}" for i in range(115)]
+        cut.add(len(texts))
+        # The copy, its whole, and a longer text that is too far from the copy but shares bands with both.
+        texts += [" ".join(words[:96]) + ".", " ".join(words) + ".", " ".join(words + [f"z{n}x{i}" for i in range(12)]) + "."]
+    found = copies(spark, texts)
+    assert cut <= found and not {i + 2 for i in cut} & found
+
+
+def test_of_equal_word_counts_the_shorter_is_cut(spark):
+    words = [f"v{i}" for i in range(60)]
+    whole, part = " ".join([*words, "complete."]), " ".join([*words, "comp"])
+    assert copies(spark, [whole, part]) == {1} and copies(spark, [part, whole]) == {0}
+    assert not t.ends_early([*words, "other"], [*words, "complete."])
