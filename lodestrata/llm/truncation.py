@@ -1,8 +1,8 @@
 """Texts cut off by field limits or in transfer (problem 10).
 
-Near-copies come first: bodies that share a band of their min-hash signature are paired with every
-longer one of the band, verified on their five-word shingles and aligned; a copy whose end lies inside
-a longer one was cut. A record without such a copy is judged by its end: does its source pile up
+Near-copies come first: bodies that share a band of their min-hash signature, or of that of an
+opening, are paired with every longer one of the band, verified on their five-word shingles (0.8 of
+the short text's are in the longer one) and aligned; a copy whose end lies inside a longer one was cut. A record without such a copy is judged by its end: does its source pile up
 texts of exactly one length, does it end in a cut character or a mark of omission, and does its last
 line close as complete lines do - a sentence by its mark, any other line by a wording and a closing
 word that complete lines of the corpus have.
@@ -25,6 +25,7 @@ from ..session import cut_lineage
 from .boilerplate import Pages, Wrapper, _hash, body_rows, induce, map_pages, pages_of
 
 WORDS, BANDS, ROWS, SIMILAR = 5, 10, 4, 0.8
+OPENING = 8  #: shingles of the shortest opening; the others are twice as long each
 # Marks that stand for what was cut off.
 OMITTED = re.compile(r"(?:…|\[\s*(?:more|\.\.\.|…|truncated|cut|continued|mehr|suite|más)\s*\]|\((?:more|continued|truncated)\)|�+)\s*$", re.I)
 _SENTENCE = re.compile(r"[.!?。！？]['\"”’»)\]]*$")
@@ -100,7 +101,7 @@ class Signer:
         return Signer.roll(np.r_[codes, np.zeros(max(0, WORDS - len(codes)), np.uint64)])
 
     def bands(self, texts: list[list[str]]) -> list[list[int]]:
-        """The bands of each text; none for one without words. Shorter texts than a shingle are filled up."""
+        """The bands of each text, then those of its openings of 8, 16, ... shingles; none for one without words. Shorter texts than a shingle are filled up."""
         sizes = np.array([len(w) for w in texts], np.int64)
         padded = np.maximum(sizes, WORDS)
         starts = np.cumsum(padded) - padded
@@ -109,12 +110,31 @@ class Signer:
         counts = padded - WORDS + 1
         grams = self.roll(flat)[np.repeat(starts, counts) + np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)]
         at = np.cumsum(counts) - counts
-        least = np.empty((len(texts), BANDS * ROWS), np.uint64)
+        # A text's pieces: up to 8 shingles, to 16, ..., and the rest; the least of an opening is the least of its pieces.
+        scales = np.array([openings(n) for n in counts.tolist()], np.int64)
+        pieces = scales + 1
+        first = np.cumsum(pieces) - pieces
+        nth = np.arange(pieces.sum()) - np.repeat(first, pieces)
+        cuts = np.repeat(at, pieces) + np.where(nth > 0, OPENING << np.maximum(nth - 1, 0), 0)
+        least = np.empty((len(cuts), BANDS * ROWS), np.uint64)
         with np.errstate(over="ignore"):
             for i in range(BANDS * ROWS):
-                least[:, i] = np.minimum.reduceat(grams * self.times[i] + self.plus[i], at)
+                least[:, i] = np.minimum.reduceat(grams * self.times[i] + self.plus[i], cuts)
+            for n in range(1, int(pieces.max(initial=0))):
+                later = np.flatnonzero(nth == n)
+                least[later] = np.minimum(least[later], least[later - 1])
             keys = (least.reshape(-1, BANDS, ROWS) * self.mix).sum(axis=2, dtype=np.uint64) ^ np.arange(BANDS, dtype=np.uint64)
-        return [k if n else [] for k, n in zip(keys.view(np.int64).tolist(), sizes)]
+            # The last piece closes the whole text; the others are openings, told apart by their length.
+            scale = np.where(nth == np.repeat(scales, pieces), 0, nth + 1).astype(np.uint64)
+            keys += (scale * np.uint64(0x9E3779B97F4A7C15))[:, None]
+        listed = np.where(nth == 0, np.repeat(first + scales, pieces), np.arange(len(cuts)) - 1)  # the whole first, then the openings
+        keys = keys[listed].reshape(-1).view(np.int64).tolist()
+        return [keys[f * BANDS : (f + p) * BANDS] if n else [] for f, p, n in zip(first.tolist(), pieces.tolist(), sizes)]
+
+
+def openings(count: int) -> int:
+    """How many openings of 8, 16, ... shingles, all shorter than itself, a text of count shingles has."""
+    return ((count - 1) // OPENING).bit_length()
 
 
 _ENDS = "key {kind}, source string, digest long, body_digest long, chars long, octets long, body_chars long, body_octets long, words long, tail long, marked boolean, sentence boolean, shape long, closer string, lines array<struct<shape:long,closer:string>>, bands array<long>"
@@ -228,13 +248,15 @@ def _line_closings(ends: DataFrame, least: float = 2e-5) -> tuple[DataFrame, Dat
 def _cut_copies(ends: DataFrame, pages: DataFrame, wrapper: Wrapper) -> DataFrame:
     """body_digest of the bodies whose alignment with any longer near-copy ends early. Equal bodies stand for one."""
     single = ends.where(F.size("bands") > 0).groupBy("body_digest").agg(F.min("key").alias("key"), F.max("words").alias("words"), F.max("body_chars").alias("chars"), F.first("tail").alias("tail"), F.first("bands").alias("bands"))
-    slots = single.select("body_digest", "key", "words", "chars", "tail", F.explode("bands").alias("band"))
-    shared = slots.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
+    slots = single.select("body_digest", "key", "words", "chars", "tail", F.size("bands").alias("n"), F.posexplode("bands").alias("at", "band"))
+    # A text that may be a cut copy is known by its whole and its longest opening, over half of it; the openings of the longer text meet both.
+    asks = (F.col("at") < BANDS) | (F.col("at") >= F.col("n") - BANDS)
+    slots = slots.select("body_digest", "key", "words", "chars", "tail", "band", asks.alias("asks"))
+    shared = slots.groupBy("band").agg(F.count("*").alias("n"), F.bool_or("asks").alias("asked")).where("n > 1 and asked").select("band")
     met = cut_lineage(slots.join(cut_lineage(shared), "band"))
     wholes = met.select("band", F.col("key").alias("longer"), F.col("words").alias("most"), F.col("chars").alias("most_chars"), F.col("tail").alias("other_tail"))
-    # Every text meets all longer ones of its band; of equal word counts the one of fewer characters may be cut. Texts of the same
-    # last six words end together. Texts of a similarity of 0.8 differ by a fifth in length at most; words may repeat, hence the margin.
-    pairs = met.join(wholes, "band").where("(words < most or words = most and chars < most_chars) and words >= 0.75 * most and (tail = 0 or tail <> other_tail)")
+    # Every text meets all longer ones of its band; of equal word counts the one of fewer characters may be cut. Texts of the same last six words end together.
+    pairs = met.where("asks").join(wholes, "band").where("(words < most or words = most and chars < most_chars) and (tail = 0 or tail <> other_tail)")
     pairs = cut_lineage(pairs.select("key", "body_digest", "longer").distinct())
     wanted = pairs.select("key").unionByName(pairs.select(F.col("longer").alias("key"))).distinct()
     bodies = map_pages(cut_lineage(pages.join(wanted, "key", "left_semi")), wrapper, body_rows, f"key {dict(pages.dtypes)['key']}, body string")
@@ -250,14 +272,14 @@ def _cut_copies(ends: DataFrame, pages: DataFrame, wrapper: Wrapper) -> DataFram
 
 
 def ends_early(short: list[str], whole: list[str]) -> bool:
-    """Whether short is a near-copy of whole (0.8 of their five-word shingles) that stops inside it; its last word may be cut."""
+    """Whether short is a near-copy of whole (0.8 of its five-word shingles are there) that stops inside it; its last word may be cut."""
     if len(short) > len(whole) or short == whole:
         return False
     words = short[:-1] if len(short) > WORDS else short
     mine, other = Signer.shingles(words), Signer.shingles(whole)
     places = {gram: i for i, gram in enumerate(other.tolist())}
     own = set(mine.tolist())
-    if len(own & places.keys()) < SIMILAR * len(own | places.keys()) - 1:  # one shingle's grace for the word left off
+    if len(own & places.keys()) < SIMILAR * len(own):
         return False
     at = places.get(int(mine[-1]))
     if at is None:

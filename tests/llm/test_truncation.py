@@ -83,3 +83,22 @@ def test_of_equal_word_counts_the_shorter_is_cut(spark):
     whole, part = " ".join([*words, "complete."]), " ".join([*words, "comp"])
     assert copies(spark, [whole, part]) == {1} and copies(spark, [part, whole]) == {0}
     assert not t.ends_early([*words, "other"], [*words, "complete."])
+
+
+def test_copies_of_half_and_three_quarters(spark):
+    texts, cut = [], set()
+    for n in range(12):
+        words = [f"v{n}x{i}" for i in range(120)]
+        cut.add(len(texts))
+        texts += [" ".join(words[: (15, 60, 75, 90)[n % 4]]) + ".", " ".join(words) + "."]
+    assert copies(spark, texts) == cut
+
+
+def test_openings_share_their_bands():
+    sign = t.Signer()
+    words = [f"w{i}" for i in range(200)]
+    for size in (12, 13, 19, 20, 36, 99, 150):
+        n = t.openings(size - 4)
+        short, whole = sign.bands([words[:size], words])
+        assert len(short) == (n + 1) * t.BANDS and short[t.BANDS :] == whole[t.BANDS : (n + 1) * t.BANDS]
+    assert sign.bands([[], words[:3]])[0] == [] and len(sign.bands([words[:3]])[0]) == t.BANDS
