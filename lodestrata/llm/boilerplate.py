@@ -27,10 +27,11 @@ FUNCTION_WORDS = frozenset(
     "a an the on in of for with and to from by at un une una el la le les los las de des du del para pour con avec sur en y et ein eine einen der die das für mit von zu und über im am".split()
 )
 HOT = 0.005  #: share of the pages from which a host is looked up in a broadcast
-LONG_LABEL, MOST_LABEL = 180, 400  #: longer lines are no template nodes, those that list segments from the second on
+LONG_LABEL = 180  #: longer lines have no wording; they are nodes by their label and segments
 _MARK = re.compile(r"^(?:(?:[*•·›»>\-–—]+|\(?\d{1,3}[.)])\s+)+")
 _NUMBER = re.compile(r"\d+(?:[.,]\d+)*")
 _PARTS = re.compile(r"\s+[·|•]\s+|[\s ]{3,}|\s+[>»›/]\s+")
+_SEPARATORS = (" | ", " · ", " • ", " > ", " » ", " › ", " / ", "   ")
 _CRUMBS = re.compile(r"\s+[>»›/]\s+")
 _COUNT = re.compile(r"\s*\(\d[\d.,]*\)$")
 _WORD = re.compile(r"[^\W\d_][^\W_]*(?:[-'’][^\W_]+)*|\d+(?:[.,]\d+)*|[:,;?!]")
@@ -90,10 +91,12 @@ class Nodes:
         self.most, self.memo, self.wordings = most, {}, {}
 
     def __call__(self, line: str, site: str) -> list[int]:
-        """Hashes of the line's label, of the label without names, and of its segments' labels; none for blank and long lines."""
-        size = len(line)
-        if size > LONG_LABEL and (size > MOST_LABEL or not (" | " in line or " · " in line or "   " in line)):
-            return []
+        """Hashes of the line's label, of the label without names, and of its segments' labels; none for blank lines."""
+        if len(line) > LONG_LABEL:
+            if line.isspace():
+                return []
+            text = _hash(label(line, site)) & ~1  # its wording is not told from it; not remembered, as it may be of any length
+            return [text, text] + ([_hash(label(p, site)) & ~1 for p in parts(line)] if any(x in line for x in _SEPARATORS) else [])
         found = self.memo.get((site, line))
         if found is None:
             if line.isspace() or not line:
@@ -340,7 +343,8 @@ def outside_lines(df: DataFrame, key: str = "doc_id", text: str = "text", url: s
     """key, line_no: the non-blank lines, counted from 1, that are not part of the main body of each page.
 
     Null, empty and blank texts have none. A page without a host, or of a host too small to align, is
-    judged by the furniture of all hosts. Lines of over 400 characters are content. Texts of any
+    judged by the furniture of all hosts. Lines of over 180 characters are told by their label and
+    segments, not by a wording without names. Texts of any
     length are read whole; rows with the same key are pages of their own. Other columns are ignored.
     """
     pages = pages_of(df, key, text, url, lang)

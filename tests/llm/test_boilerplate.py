@@ -87,3 +87,16 @@ def test_bodies_keep_the_rest(spark):
 def test_tree_match_is_the_longest_common_order():
     assert sorted(b.tree_match([1, 2, 3, 4], [1, 3, 2, 4])) in ([1, 2, 4], [1, 3, 4])
     assert b.tree_match([], [1]) == [] and b.tree_match([5, 5], [5, 5]) == [5]
+
+
+def test_long_template_lines(spark):
+    rows, outside = corpus(6)
+    notice = "This site uses cookies to keep you signed in, to remember the language you chose and to count visits; by reading on you agree that they are stored on your machine, as the notice on privacy describes in more detail below." * 3
+    links = " • ".join(f"Section {w} of the manual" for w in "alpha beta gamma delta epsilon zeta eta theta iota kappa".split())
+    framed = [i for i, r in enumerate(rows) if not r[2].startswith(("https://plain", "https://feed"))]
+    for i in framed:
+        rows[i] = (rows[i][0], rows[i][1] + f"\n{notice}\n{links} • Page {i}a", *rows[i][2:])
+    got = found(spark, rows)
+    sizes = {i: len(rows[i][1].split("\n")) for i in framed}
+    assert len(notice) > 400 and len(links) > 180
+    assert sum({sizes[i] - 1, sizes[i]} <= got.get(i, set()) for i in framed) >= 0.98 * len(framed)
