@@ -42,3 +42,18 @@ def test_alignment():
     assert consensus.align(["a", "b", "c"], ["a", "x", "c"]) == [(3, 0, "c"), (2, 0, "x"), (1, 0, "a")]
     assert (1, 1, "n") in consensus.align(["a", "b"], ["a", "n", "b"])
     assert consensus.distance(["a", "b"], ["b"]) == 1 and consensus.align([], []) == []
+
+
+LLAMAS = [("a", "Llama 7B", 1.75), ("a", "Llama 2 7B", 1.5), ("a", "Llama Chat 2 7B", 1.5)]
+
+
+def test_inserted_tokens_are_aligned_with_one_another(spark):
+    df = spark.createDataFrame(LLAMAS + [("b", "x y", 1.0), ("b", "!!", 3.0)], "k string, v string, w double")
+    assert {r["k"]: r["v"] for r in consensus.consensus_values(df, "k", "v", F.col("w")).collect()} == {"a": "Llama 2 7B", "b": "!!"}
+
+
+def test_blocks_of_a_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(consensus, "BLOCK", 4)
+    rows = [("a", f"Llama {'Chat ' * (i % 3 == 0)}2 {i}b", 1.0) for i in range(40)] + [("a", "Llama 2 7b", 5.0), ("a", "Llama 7b", 5.5), *[("b", v, w) for _, v, w in LLAMAS]]
+    df = spark.createDataFrame(rows, "k string, v string, w double")
+    assert {r["k"]: r["v"] for r in consensus.consensus_values(df, "k", "v", F.col("w")).collect()} == {"a": "Llama 2 7b", "b": "Llama 2 7B"}
