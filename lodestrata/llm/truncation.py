@@ -276,6 +276,8 @@ def ends_early(short: list[str], whole: list[str]) -> bool:
     if len(short) > len(whole) or short == whole:
         return False
     words = short[:-1] if len(short) > WORDS else short
+    if " ".join(words[-WORDS:]) not in " ".join(whole):  # most pairs end here: the last shingle must be in whole
+        return False
     mine, other = Signer.shingles(words), Signer.shingles(whole)
     places = {gram: i for i, gram in enumerate(other.tolist())}
     own = set(mine.tolist())
