@@ -107,6 +107,12 @@ def identifier_from_url(spark, folder):
     return found.select("url", "i.namespace", "i.value")
 
 
+@query()
+def identifier_from_source_url(spark, folder):
+    """identifier_from_url over the addresses of all documents; null where an address names no identifier."""
+    return table(spark, folder, "documents").select("doc_id", urls.identifier_from_url(F.col("source_url")).alias("i")).select("doc_id", "i.namespace", "i.value")
+
+
 @query("select doc_id, case when regexp_matches(text, '[.!?\\n]') then regexp_extract(text, '^([^.!?\\n]*[.!?\\n])', 1) else text end sentence from documents")
 def first_sentence(spark, folder):
     return table(spark, folder, "documents").select("doc_id", text.first_sentence(F.col("text")).alias("sentence"))
@@ -151,6 +157,16 @@ def bounded_context(spark, folder):
     return long.select("doc_id", text.bounded_context(F.length("text"), F.lit(40), F.lit(60), 200)["start"].cast("long").alias("start_at"))
 
 
+@query()
+def bounded_context_mentions(spark, folder):
+    """bounded_context of every URL mention of every text: start and end of the window around it."""
+    documents = table(spark, folder, "documents")
+    spans = extract.url_relations(documents, "doc_id").select("doc_id", "start", "end")
+    sizes = documents.where("text is not null").select("doc_id", F.length("text").alias("size"))
+    window = text.bounded_context(F.col("size"), F.col("start"), F.col("end"), 200)
+    return spans.join(sizes, "doc_id").select("doc_id", "start", "end", "size", window["start"].cast("long").alias("context_start"), window["end"].cast("long").alias("context_end"))
+
+
 # ---- replay of changes
 
 _EDGES = """
@@ -621,6 +637,12 @@ def sort_export(spark, folder):
     return serve.sort_export(table(spark, folder, "models").where("status = 'stub'").select("id", "canonical_name", "status"))
 
 
+@query("select * from models order by all nulls first")
+def sort_export_models(spark, folder):
+    """sort_export of the whole table, every row and field."""
+    return serve.sort_export(table(spark, folder, "models"))
+
+
 @query("select source from source_settings union select source from documents union select source from models")
 def set_union(spark, folder):
     return table(spark, folder, "source_settings").select("source").union(table(spark, folder, "documents").select("source")).union(table(spark, folder, "models").select("source")).distinct()
@@ -645,6 +667,13 @@ def antijoin_snapshot_tombstone(spark, folder):
     return store.snapshot_tombstones(customers, customers.where("c_custkey % 7 <> 0"), "c_custkey")
 
 
+@query("select c_custkey from customer where not exists (select 1 from (select c_custkey k from customer where c_custkey % 7 <> 0) s where s.k = c_custkey)")
+def antijoin_snapshot_customers(spark, folder):
+    """antijoin_snapshot_tombstone with all customers as the active side; only the snapshot is made up."""
+    customers = table(spark, folder, "customer").select("c_custkey")
+    return store.snapshot_tombstones(customers, customers.where("c_custkey % 7 <> 0"), "c_custkey")
+
+
 @query("with r as (select distinct source_record_id a, sha256(payload_json) h from lake_records), k as (select source_record_id a, content_sha256 h from paper_state) select a artifact_id, h revision_hash from k union select a, h from r")
 def revision_upsert(spark, folder):
     state = table(spark, folder, "paper_state").select(F.col("source_record_id").alias("artifact_id"), F.col("content_sha256").alias("revision_hash"))

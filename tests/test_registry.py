@@ -186,3 +186,15 @@ def test_frontier_ranks(spark):
     df = spark.createDataFrame([("zeta one", "q"), ("zeta", "q"), ("other", "has zeta"), ("a zeta", "q"), ("none", "q")], "n string, i string")
     assert [r[0] for r in df.select(serve.search_rank(F.col("n"), F.col("i"), " Zeta ")).collect()] == [1, 0, 0, 2, None]
     assert [r[0] for r in df.select(serve.search_rank(F.col("n"), F.col("i"), "")).collect()] == [3] * 5
+
+
+def test_whole_tables_are_taken(spark, small):
+    queries = registry.queries()
+    read = lambda name: spark.read.parquet(f"{small}/{name}.parquet")
+    assert queries["sort_export_models"](spark, small).count() == read("models").count()
+    assert queries["identifier_from_source_url"](spark, small).count() == read("documents").count()
+    spans = queries["bounded_context_mentions"](spark, small).collect()
+    assert spans and any(r["context_start"] > 0 for r in spans)
+    assert all(0 <= r["context_start"] < r["context_end"] <= r["size"] and r["context_end"] - r["context_start"] <= 200 for r in spans)
+    assert all(r["context_start"] <= r["start"] and r["end"] <= r["context_end"] for r in spans if r["end"] - r["start"] <= 200)
+    assert queries["antijoin_snapshot_customers"](spark, small).where("c_custkey % 10 = 3").count() > 0
