@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 class BestFit:
     """Open containers of one capacity. place gives the number of the container that takes the item."""
@@ -43,7 +45,7 @@ class BestFit:
             free = size + (fitting & -fitting).bit_length() - 1
             container = self._take(free)
         else:
-            if self.open >= self.most_open:
+            if size < self.capacity and self.open >= self.most_open:  # an item of the whole capacity opens none
                 self._take((self.bits & -self.bits).bit_length() - 1)  # the fullest closes
             container, free = self.opened, self.capacity
             self.opened += 1
@@ -58,7 +60,8 @@ def pack(sizes: DataFrame, containers: DataFrame, key: str = "doc_id", size: str
     with a null or non-positive capacity are left out. An item goes whole into one bin; only one
     larger than the capacity is split, into full bins and a rest. An item of null or no size takes
     no room: it has one row with a null bin and length 0. Items with a null key are packed like the
-    others. Repeated keys are items of their own. bin is unique within its kind; the result is the same for
+    others. Repeated keys are items of their own. A task packs about items_per_task of them, by a hash of the key, so
+    rows of one key meet in a task. bin is unique within its kind; the result is the same for
     the same rows, however they are ordered.
     """
     rows = containers.where("container is not null and capacity_tokens > 0").select("container", "capacity_tokens").distinct().limit(max_kinds + 1).collect()
@@ -67,8 +70,9 @@ def pack(sizes: DataFrame, containers: DataFrame, key: str = "doc_id", size: str
     kinds = sorted((str(c), int(n)) for c, n in rows)
     items = sizes.select(F.col(key).alias("key"), F.greatest(F.coalesce(F.col(size), F.lit(0)), F.lit(0)).cast("long").alias("size"))
     kind_of_key = dict(items.dtypes)["key"]
-    tasks = max(1, -(-sizes.count() // items_per_task))
-    spread = items.withColumn("task", F.pmod(F.xxhash64("key"), F.lit(tasks)).cast("int")).repartition(tasks, "task").sortWithinPartitions("task", "key", "size")
+    items = cut_lineage(items)  # the sizes are measured once; the table's footer has their number
+    tasks = max(1, -(-items.count() // items_per_task))
+    spread = items.withColumn("task", F.pmod(F.xxhash64("key"), F.lit(tasks)).cast("int")).repartitionById(tasks, "task").sortWithinPartitions("task", "key", "size")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tools: dict[tuple[int, str], BestFit] = {}

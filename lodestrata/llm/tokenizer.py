@@ -12,6 +12,7 @@ import base64
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -93,11 +94,17 @@ class ByteBpe:
         return symbols[order], np.bincount(owner, minlength=len(words))
 
 
+@lru_cache(maxsize=4)
+def vocabulary_at(path: str) -> ByteBpe:
+    """The vocabulary of a file, built once in each Python worker rather than in each task."""
+    return ByteBpe(path)
+
+
 class BatchEncoder:
     """Encodes batches of texts, remembering the words it has seen."""
 
     def __init__(self, path: str, most_words: int = 300_000):
-        self.bpe, self.most_words = ByteBpe(path), most_words
+        self.bpe, self.most_words = vocabulary_at(path), most_words
         self._forget()
 
     def _forget(self) -> None:
