@@ -17,27 +17,22 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.skew import lookup_join
 from ..session import cut_lineage
+from .line_nodes import MARK, LineReader, Lines
 
 # Words that say how a title is built, not what it is about.
 FUNCTION_WORDS = frozenset(
     "a an the on in of for with and to from by at un une una el la le les los las de des du del para pour con avec sur en y et ein eine einen der die das für mit von zu und über im am".split()
 )
 HOT = 0.005  #: share of the pages from which a host is looked up in a broadcast
-LONG_LABEL = 180  #: longer lines have no wording; they are nodes by their label and segments
-_MARK = re.compile(r"^(?:(?:[*•·›»>\-–—]+|\(?\d{1,3}[.)])\s+)+")
-_NUMBER = re.compile(r"\d+(?:[.,]\d+)*")
-_PARTS = re.compile(r"\s+[·|•]\s+|[\s ]{3,}|\s+[>»›/]\s+")
-_SEPARATORS = (" | ", " · ", " • ", " > ", " » ", " › ", " / ", "   ")
+MOST_SHIPPED = 2_000_000  #: furniture nodes and title wordings that are sent to every task, at most; more is an error
 _CRUMBS = re.compile(r"\s+[>»›/]\s+")
 _COUNT = re.compile(r"\s*\(\d[\d.,]*\)$")
 _WORD = re.compile(r"[^\W\d_][^\W_]*(?:[-'’][^\W_]+)*|\d+(?:[.,]\d+)*|[:,;?!]")
-_NAMES = re.compile(r"[^\W\d_a-zß-öø-ÿ][^\W_]*(?:[-#@][^\W_]*)*(?: [^\W\d_a-zß-öø-ÿ][^\W_]*(?:[-#@][^\W_]*)*)*")
-_END = re.compile(r"[.!?…。！？;:,]['\"”’»)\]]*$")
-_SITE = re.compile(r"([^.]+)\.[^.]+$")
+STOPS, CLOSERS = ".!?…。！？;:,", "'\"”’»)]"  #: fixed values: marks that end a sentence or clause, and those that may follow
 
 
 def _hash(text: str | bytes) -> int:
@@ -46,31 +41,10 @@ def _hash(text: str | bytes) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
-def site_word(host: str) -> str:
-    """The word of a host that names its site."""
-    m = _SITE.search(host)
-    return m[1].lower() if m else ""
-
-
-def label(line: str, site: str) -> str:
-    """What a line keeps on every page: without its list mark, with numbers and the site's name masked."""
-    text = _MARK.sub("", line.strip())
-    text = text.replace("[", "").replace("]", "")
-    text = _NUMBER.sub("#", text)
-    if site and len(site) > 2 and site in text.lower():
-        text = re.sub(re.escape(site), "@", text, flags=re.I)
-    return " ".join(text.split())
-
-
-def parts(line: str) -> list[str]:
-    found = _PARTS.split(line.strip())
-    return found if len(found) > 2 else []
-
-
 def skeleton(line: str) -> str:
-    """How a short line is worded: function words, marks, and runs of capital and lower words; empty for sentences and long lines."""
-    text = _COUNT.sub("", _MARK.sub("", line.strip()))
-    if not text or len(text) > 120 or _END.search(text):
+    """How a line is worded: function words, marks, and runs of capital and lower words; empty for sentences."""
+    text = _COUNT.sub("", MARK.sub("", line.strip()))
+    if not text or text.rstrip(CLOSERS)[-1:] in tuple(STOPS):
         return ""
     out: list[str] = []
     word = ""
@@ -84,43 +58,25 @@ def skeleton(line: str) -> str:
     return " ".join(out)
 
 
-class Nodes:
-    """The nodes of lines, remembered: template lines come again and again."""
+class Wordings:
+    """Hashes of wordings, remembered: template lines come again and again."""
 
-    def __init__(self, most: int = 100_000):
-        self.most, self.memo, self.wordings = most, {}, {}
+    def __init__(self, most_chars: int = 10_000_000):
+        self.most_chars, self.chars, self.memo = most_chars, 0, {}
 
-    def __call__(self, line: str, site: str) -> list[int]:
-        """Hashes of the line's label, of the label without names, and of its segments' labels; none for blank lines."""
-        if len(line) > LONG_LABEL:
-            if line.isspace():
-                return []
-            text = _hash(label(line, site)) & ~1  # its wording is not told from it; not remembered, as it may be of any length
-            return [text, text] + ([_hash(label(p, site)) & ~1 for p in parts(line)] if any(x in line for x in _SEPARATORS) else [])
-        found = self.memo.get((site, line))
-        if found is None:
-            if line.isspace() or not line:
-                return []
-            text = label(line, site)
-            # Odd hashes are wordings: they can be furniture, but many different lines of a body share one, so they are no constants.
-            found = [_hash(text) & ~1, _hash(_NAMES.sub("C", text)) | 1]
-            found += [_hash(label(p, site)) & ~1 for p in parts(line)]
-            if len(self.memo) > self.most:
-                self.memo.clear()
-            self.memo[site, line] = found
-        return found
-
-    def worded(self, line: str) -> int:
+    def __call__(self, line: str) -> int:
         """Hash of the line's wording; 0 if it is none of a title."""
-        if len(line) > 130 or line[-1:] in ".!?:;,…":
+        if line[-1:] in ".!?:;,…":
             return 0
-        found = self.wordings.get(line)
+        found = self.memo.get(line)
         if found is None:
             text = skeleton(line)
             found = _hash(text) if text else 0
-            if len(self.wordings) > self.most:
-                self.wordings.clear()
-            self.wordings[line] = found
+            self.chars += len(line)
+            if self.chars > self.most_chars:
+                self.memo.clear()
+                self.chars = len(line)
+            self.memo[line] = found
         return found
 
 
@@ -157,27 +113,27 @@ class Pages:
     """Tells the lines of a page that are not its main body."""
 
     def __init__(self, furniture: frozenset[int], titles: frozenset[int]):
-        self.furniture, self.titles, self.nodes = furniture, titles, Nodes()
+        self.furniture, self.titles, self.reader, self.worded = furniture, titles, LineReader(), Wordings()
 
-    def outside(self, text: str, host: str, constant: set[int]) -> list[int]:
-        """Numbers from 1 of the non-blank lines outside the main body."""
-        return self.judge(text.split("\n"), host, constant)[0]
+    def judged(self, batch: pa.RecordBatch, constants: list[set[int]]) -> Iterator[tuple[Lines, list[int], bool]]:
+        """Of each page of a batch (host, key, text, ...): its lines, and what judge says of them."""
+        for page, constant in zip(self.reader.pages(batch.column(0).to_pylist(), batch.column(2)), constants):
+            yield page, *self.judge(page, constant)
 
-    def judge(self, lines: list[str], host: str, constant: set[int]) -> tuple[list[int], bool]:
-        """Those numbers, and whether the last line is furniture that breaks off inside its last segment."""
-        site = site_word(host)
-        nodes = [self.nodes(line, site) for line in lines]
-        known = self.furniture
+    def judge(self, page: Lines, constant: set[int]) -> tuple[list[int], bool]:
+        """Numbers from 1 of the non-blank lines outside the main body, and whether the last line is furniture that breaks off inside its last segment."""
+        lines, label, wording, segments = page
+        known, titles, worded = self.furniture, self.titles, self.worded
         size = len(lines)
         chrome = [False] * size
-        crumb, ragged, last = "", False, max((i for i in range(size) if nodes[i]), default=-1)
-        for i, own in enumerate(nodes):
+        crumb, ragged, last = "", False, max((i for i in range(size) if label[i]), default=-1)
+        for i, own in enumerate(label):
             if not own:
                 continue
-            if own[0] in constant or own[0] in known or own[1] in known and self.nodes.worded(lines[i]) not in self.titles:
+            if own in constant or own in known or wording[i] in known and worded(lines[i]) not in titles:
                 chrome[i] = True
                 continue
-            rest = own[2:]
+            rest = segments.get(i)
             if rest:
                 same = sum(n in constant or n in known for n in rest)
                 if same >= 0.6 * len(rest):
@@ -187,16 +143,15 @@ class Pages:
                     pieces = _CRUMBS.split(lines[i].strip(), maxsplit=2)
                     if len(pieces) > 2:
                         chrome[i], crumb = True, crumb or pieces[-1].strip()
-        blank = [not own and not line.strip() for own, line in zip(nodes, lines)]
         links = [False] * size
         for i in range(1, size):
-            if not blank[i] and not chrome[i] and (chrome[i - 1] or links[i - 1]):
-                links[i] = self.nodes.worded(lines[i]) in self.titles or (lines[i][-1] == ")" and len(lines[i]) <= 130 and bool(_COUNT.search(lines[i])))
-        first = next((i for i in range(size) if not (blank[i] or chrome[i] or links[i])), size)
-        heads = [i for i in range(first) if links[i] and not _COUNT.search(lines[i].strip()) and not _MARK.match(lines[i].strip())]
+            if label[i] and not chrome[i] and (chrome[i - 1] or links[i - 1]):
+                links[i] = worded(lines[i]) in titles or (lines[i][-1] == ")" and bool(_COUNT.search(lines[i])))
+        first = next((i for i in range(size) if label[i] and not (chrome[i] or links[i])), size)
+        heads = [i for i in range(first) if links[i] and not _COUNT.search(lines[i].strip()) and not MARK.match(lines[i].strip())]
         if crumb:  # it names the page's title
             heads = [i for i in heads if lines[i].strip().startswith(crumb)]
-        if heads and not (first < size and self.nodes.worded(lines[first]) in self.titles):
+        if heads and not (first < size and worded(lines[first]) in titles):
             links[heads[-1]] = False  # the last title before the body is the page's own
         return [i + 1 for i in range(size) if chrome[i] or links[i]], ragged
 
@@ -209,17 +164,15 @@ def _trees(pages: DataFrame) -> DataFrame:
     """host, lang, spread, nodes, first, others, numbered: each page as the hashes of its nodes in document order, and of its lines' wordings, last those of lines with a count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read = Nodes()
+        reader, worded = LineReader(), Wordings()
         for batch in batches:
             nodes, firsts, others, numbered = [], [], [], []
-            for host, text in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
-                site = site_word(host)
-                lines = text.split("\n")
-                nodes.append(list(dict.fromkeys(n for line in lines for n in read(line, site))))
-                worded = [read.worded(line) for line in lines if line and not line.isspace()]
-                firsts.append(worded[0] if worded else 0)
-                others.append([w for w in worded[1:] if w])
-                numbered.append([w for line in lines if line[-1:] == ")" and _COUNT.search(line) and (w := read.worded(line))])
+            for page in reader.pages(batch.column(3).to_pylist(), batch.column(4)):
+                nodes.append(page.nodes())
+                titled = [worded(line) for line, own in zip(page.text, page.label) if own]
+                firsts.append(titled[0] if titled else 0)
+                others.append([w for w in titled[1:] if w])
+                numbered.append([w for line in page.text if line[-1:] == ")" and _COUNT.search(line) and (w := worded(line))])
             found = [pa.array(nodes, pa.list_(pa.int64())), pa.array(firsts, pa.int64()), pa.array(others, pa.list_(pa.int64())), pa.array(numbered, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], *found], ["host", "lang", "spread", "nodes", "first", "others", "numbered"])
 
@@ -284,10 +237,9 @@ def induce(pages: DataFrame, steady: float = 0.01, rare: float = 0.0005) -> Wrap
     sizes = lang_sizes.groupBy("host").agg(F.sum("lang_size").alias("size"))
     # Ranges of (host, spread) keep a host's pages together and still split a host that owns much of the data.
     pairs = trees.select("host", "lang", "spread", "nodes").repartitionByRange("host", "spread").sortWithinPartitions("host", "spread").select("host", "lang", "nodes")
-    counted = pairs.mapInArrow(_counts, "host long, lang string, node long, pages long, matched long").repartition("node")
-    summed = counted.groupBy("node", "host", "lang").agg(F.sum("pages").alias("pages"), F.sum("matched").alias("matched"))
-    # A node of one or two pages can neither be constant nor furniture; most lines of the bodies are such.
-    counts = cut_lineage(summed.withColumn("all", F.sum("pages").over(W.partitionBy("node"))).where("all >= 3").drop("all"))
+    counted = pairs.mapInArrow(_counts, "host long, lang string, node long, pages long, matched long")
+    # Grouped by host, too: a phrase of every host has many groups, none of them large. What follows sums them by partial aggregates.
+    counts = cut_lineage(counted.groupBy("node", "host", "lang").agg(F.sum("pages").alias("pages"), F.sum("matched").alias("matched")))
 
     # First the hosts with a template: those whose pages keep matching.
     nodes = counts.groupBy("host", "node").agg(F.sum("pages").alias("pages"), F.sum("matched").alias("matched")).where("pages >= 3 and node % 2 = 0")
@@ -300,7 +252,7 @@ def induce(pages: DataFrame, steady: float = 0.01, rare: float = 0.0005) -> Wrap
     kinds = lang_sizes.join(framed, "host", "left")
     volume = cut_lineage(kinds.groupBy("lang").agg(F.sum(F.when(F.col("framed"), F.col("lang_size")).otherwise(0)).alias("all_on"), F.sum(F.when(F.col("framed"), 0).otherwise(F.col("lang_size"))).alias("all_off")))
     total = volume.agg(F.sum("all_on")).first()[0] or 0
-    by_host = cut_lineage(counts.join(framed, "host", "left").withColumn("framed", F.coalesce("framed", F.lit(False))))
+    by_host = cut_lineage(lookup_join(counts, framed, ["host"]).withColumn("framed", F.coalesce("framed", F.lit(False))))
     off = by_host.where(~F.col("framed")).groupBy("node", "lang").agg(F.sum("pages").alias("off"))
 
     # A host's constant nodes are firm ones, and common ones that pages without a template lack.
@@ -329,8 +281,14 @@ def induce(pages: DataFrame, steady: float = 0.01, rare: float = 0.0005) -> Wrap
     # Links are titles, too: wordings that often carry a count in brackets on pages with a template.
     counted = trees.join(framed, "host", "left_semi").select(F.explode("numbered").alias("worded")).groupBy("worded").agg(F.count("*").alias("n"))
     linked = counted.where(F.col("n") >= max(3.0, rare * total))
-    worded = {r[0] for r in titles.select("worded").unionByName(linked.select("worded")).collect()}
-    return Wrapper(hosts, frozenset(r[0] for r in furniture.select("node").collect()), frozenset(worded))
+    return Wrapper(hosts, _shipped(furniture.select("node")), _shipped(titles.select("worded").unionByName(linked.select("worded")).distinct()))
+
+
+def _shipped(numbers: DataFrame) -> frozenset[int]:
+    rows = numbers.limit(MOST_SHIPPED + 1).collect()
+    if len(rows) > MOST_SHIPPED:
+        raise ValueError(f"over {MOST_SHIPPED} nodes of furniture or wordings: raise the share that makes them")
+    return frozenset(r[0] for r in rows)
 
 
 def pages_of(df: DataFrame, key: str, text: str, url: str, lang: str, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -343,16 +301,14 @@ def outside_lines(df: DataFrame, key: str = "doc_id", text: str = "text", url: s
     """key, line_no: the non-blank lines, counted from 1, that are not part of the main body of each page.
 
     Null, empty and blank texts have none. A page without a host, or of a host too small to align, is
-    judged by the furniture of all hosts. Lines of over 180 characters are told by their label and
-    segments, not by a wording without names. Texts of any
+    judged by the furniture of all hosts. Lines and texts of any
     length are read whole; rows with the same key are pages of their own. Other columns are ignored.
     """
     pages = pages_of(df, key, text, url, lang)
 
     def numbers(judge: Pages, batch: pa.RecordBatch, constants: list[set[int]]) -> Iterator[pa.RecordBatch]:
         take, values = [], []
-        for row, (host, body, constant) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), constants)):
-            found = judge.outside(body, host, constant)
+        for row, (_, found, _) in enumerate(judge.judged(batch, constants)):
             values += found
             take += [row] * len(found)
         yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(take, pa.int32())), pa.array(values, pa.int32())], ["key", "line_no"])
@@ -396,7 +352,7 @@ def main_bodies(df: DataFrame, key: str = "doc_id", text: str = "text", url: str
 
 def body_rows(judge: Pages, batch: pa.RecordBatch, constants: list[set[int]]) -> Iterator[pa.RecordBatch]:
     bodies = []
-    for host, text, constant in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), constants):
-        drop = set(judge.outside(text, host, constant))
-        bodies.append("\n".join(x for n, x in enumerate(text.split("\n"), 1) if n not in drop))
+    for page, outside, _ in judge.judged(batch, constants):
+        drop = set(outside)
+        bodies.append("\n".join(x for n, x in enumerate(page.text, 1) if n not in drop))
     yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(bodies, pa.string())], ["key", "body"])

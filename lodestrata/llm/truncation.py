@@ -26,16 +26,14 @@ from .boilerplate import Pages, Wrapper, _hash, body_rows, induce, map_pages, pa
 
 WORDS, BANDS, ROWS, SIMILAR = 5, 10, 4, 0.8
 OPENING = 8  #: shingles of the shortest opening; the others are twice as long each
-# Marks that stand for what was cut off.
-OMITTED = re.compile(r"(?:…|\[\s*(?:more|\.\.\.|…|truncated|cut|continued|mehr|suite|más)\s*\]|\((?:more|continued|truncated)\)|�+)\s*$", re.I)
-_SENTENCE = re.compile(r"[.!?。！？]['\"”’»)\]]*$")
-MARKS = frozenset(" \t*•·›»>-–—#$(0123456789")
+# Marks that stand for what was cut off, that end a sentence, and that may follow such a mark.
+CUT_SIGNS = ("…", "\ufffd")
+OMITTED = re.compile(r"\[\s*(?:more|\.\.\.|…|truncated|cut|continued|mehr|suite|más)\s*\]|\((?:more|continued|truncated)\)", re.I)
 SENTENCE_ENDS, CLOSERS = ".!?。！？", "'\"”’»)]"
-_DOTS = re.compile(r"(\w*)\s*\.\.\.['\"”’»)\]]*$")
+MARKS = frozenset(" \t*•·›»>-–—#$(0123456789")
 _DOTTED = re.compile(r"(\w+)\.\.\.(?:$| )")
 _LINK = re.compile(r"^(?:https?|ftp)://\S+$")
 _BULLET = re.compile(r"^(?:[*•·›»>\-–—]+|\(?\d{1,3}[.)])\s+")
-LONGEST_FORM, TAIL = 160, 80  #: longest line that has a form; characters at an end that hold its last word and marks
 
 
 _CLASS = {**{chr(c): "C" for c in range(0x41, 0x5B)}, **{chr(c): "x" for c in range(0x61, 0x7B)}, **{chr(c): "#" for c in range(0x30, 0x3A)}}
@@ -43,28 +41,55 @@ _CLASSES = str.maketrans(_CLASS | {c: "x" for c in "àáâãäåæçèéêëìí
 _RUN = re.compile(r"([Cx#])\1+")
 _MIXED = re.compile(r"[Cx#]*(?:[Cx]#|#[Cx])[Cx#]*")
 _SAME = re.compile(r"(?:(?<= )|^)([Cx#]+)(?: \1)+(?= |$)")
-_LAST = re.compile(r"([^\W\d_][^\W_]*|\d[\d.,]*|[^\w\s]|_)\s*$")
 
 
 def form(line: str) -> str:
-    """How a line is built: its list mark, signs, and runs of words and numbers by the kinds of their characters."""
+    """How a line of any length is built: its list mark, signs, and runs of words and numbers by the kinds of their characters."""
     text = line.strip()
     bare = _BULLET.sub("", text)
-    head, comma, rest = bare.partition(", ")
-    if comma and rest.count(" ") + head.count(" ") < 8:
-        bare = head + ", …"  # who or what stands behind a short line's comma takes many forms
+    head, comma, _ = bare.partition(", ")
+    bare = head + ", …" if comma else bare  # who or what stands behind a comma takes many forms
     return ("* " if len(bare) < len(text) else "") + _SAME.sub(r"\1", _MIXED.sub("w", _RUN.sub(r"\1", bare.translate(_CLASSES))))
 
 
 def closing(line: str) -> str:
-    """The last word of a line in the form in which it can recur: a lower word itself, of a capital one the last two letters."""
-    found = _LAST.search(line.rstrip()[-TAIL:].rpartition(" ")[2])
-    if not found:
-        return ""
-    last = found[1]
-    if last[0].isdigit():
-        return "#" if last[-1].isdigit() else "#" + last[-1]
-    return "~" + last[-2:] if last[0].isupper() else last
+    """The last word of a line in the form in which it can recur: a lower word itself, of a capital one the last two letters, # for a number, else the last sign."""
+    token = line.rstrip().rpartition(" ")[2]
+    at = len(token)
+    while at and token[at - 1].isalnum():
+        at -= 1
+    word = token[at:].lstrip("0123456789")
+    if word:
+        return "~" + word[-2:] if word[0].isupper() else word
+    at = len(token)
+    while at and token[at - 1] in "0123456789.,":
+        at -= 1
+    number = token[at:].lstrip(".,")
+    return ("#" if number[-1].isdigit() else "#" + number[-1]) if number else token[-1:]
+
+
+def omitted(text: str) -> bool:
+    """Whether a text without blanks at its end closes with a mark that stands for what was cut off."""
+    if text.endswith(CUT_SIGNS):
+        return True
+    at = text.rfind({"]": "[", ")": "("}.get(text[-1:], "\0"))
+    return at >= 0 and bool(OMITTED.fullmatch(text, at))
+
+
+def ends_sentence(line: str) -> bool:
+    return line.rstrip(CLOSERS)[-1:] in tuple(SENTENCE_ENDS)
+
+
+def before_dots(line: str) -> str | None:
+    """The word in front of the three dots that end a line, '' for none; None if no dots end it."""
+    bare = line.rstrip(CLOSERS)
+    if not bare.endswith("..."):
+        return None
+    token = bare[:-3].rstrip().rpartition(" ")[2]
+    at = len(token)
+    while at and (token[at - 1].isalnum() or token[at - 1] == "_"):
+        at -= 1
+    return token[at:]
 
 
 class Signer:
@@ -100,8 +125,14 @@ class Signer:
         codes = Signer.codes(words)
         return Signer.roll(np.r_[codes, np.zeros(max(0, WORDS - len(codes)), np.uint64)])
 
-    def bands(self, texts: list[list[str]]) -> list[list[int]]:
-        """The bands of each text, then those of its openings of 8, 16, ... shingles; none for one without words. Shorter texts than a shingle are filled up."""
+    def bands(self, texts: list[list[str]]) -> tuple[list[list[int]], np.ndarray, np.ndarray]:
+        """Bands, stop and tail of each text. Shorter texts than a shingle are filled up.
+
+        Its bands are those of the whole, then those of its openings of 8, 16, ... shingles; none for a text without words.
+        stop is its last shingle without the last word, which may be cut, and tail stands for its last six words (0 if it has less).
+        """
+        if not texts:
+            return [], np.zeros(0, np.int64), np.zeros(0, np.int64)
         sizes = np.array([len(w) for w in texts], np.int64)
         padded = np.maximum(sizes, WORDS)
         starts = np.cumsum(padded) - padded
@@ -129,7 +160,13 @@ class Signer:
             keys += (scale * np.uint64(0x9E3779B97F4A7C15))[:, None]
         listed = np.where(nth == 0, np.repeat(first + scales, pieces), np.arange(len(cuts)) - 1)  # the whole first, then the openings
         keys = keys[listed].reshape(-1).view(np.int64).tolist()
-        return [keys[f * BANDS : (f + p) * BANDS] if n else [] for f, p, n in zip(first.tolist(), pieces.tolist(), sizes)]
+        banded = [keys[f * BANDS : (f + p) * BANDS] if n else [] for f, p, n in zip(first.tolist(), pieces.tolist(), sizes)]
+        long = sizes > WORDS
+        last = at + counts - 1
+        before = np.where(long, last - 1, last)
+        with np.errstate(over="ignore"):
+            tails = np.where(long, grams[last] * np.uint64(0x9E3779B97F4A7C15) + grams[before], np.uint64(0))
+        return banded, grams[before].view(np.int64), tails.view(np.int64)
 
 
 def openings(count: int) -> int:
@@ -137,62 +174,62 @@ def openings(count: int) -> int:
     return ((count - 1) // OPENING).bit_length()
 
 
-_ENDS = "key {kind}, source string, digest long, body_digest long, chars long, octets long, body_chars long, body_octets long, words long, tail long, marked boolean, sentence boolean, shape long, closer string, lines array<struct<shape:long,closer:string>>, bands array<long>"
+_ENDS = "key {kind}, source string, digest long, body_digest long, chars long, octets long, body_chars long, body_octets long, words long, marked boolean, sentence boolean, shape long, closer string, lines array<struct<shape:long,closer:string>>, bands array<long>, stop long, tail long"
 
 
 def _ends(judge: Pages, batch: pa.RecordBatch, constants: list[set[int]]) -> Iterator[pa.RecordBatch]:
     sign = Signer()
-    rows, signed, waiting, pending = [], [], [], 0
+    rows, kept_rows, signed, waiting, pending = [], [], [], [], 0
     shapes: list[int] = []
     closers: list[str] = []
     bounds = [0]
 
     def shape(line: str) -> int:
         """Titles are one shape, whatever they are about; what has a list mark is none."""
-        titled = line[0] not in MARKS and judge.nodes.worded(line) in judge.titles
+        titled = line[0] not in MARKS and judge.worded(line) in judge.titles
         return 1 if titled else _hash(form(line))
 
-    kept_rows = []
-    for row, (host, text, constant, source) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), constants, batch.column(4).to_pylist())):
+    texts, sources = batch.column(2).to_pylist(), batch.column(4).to_pylist()
+    for row, (page, outside, ragged) in enumerate(judge.judged(batch, constants)):
+        text = texts[row]
         if not text or text.isspace():
             continue
         kept_rows.append(row)
-        lines = text.split("\n")
-        outside, ragged = judge.judge(lines, host, constant)
         drop = set(outside)
-        kept = [x for n, x in enumerate(lines, 1) if n not in drop]
+        kept = [x for n, x in enumerate(page.text, 1) if n not in drop]
         own = [x.rstrip() for x in kept if not x.isspace() and x]
         body = "\n".join(kept).strip("\n")
         last = own[-1] if own else ""
-        end = text.rstrip()
-        marked = ragged or bool(OMITTED.search(end[-TAIL:]) or OMITTED.search(last[-TAIL:]))
-        dots = _DOTS.search(last[-TAIL:]) if "..." in last[-TAIL:] else None
+        marked = ragged or omitted(text.rstrip()) or omitted(last)
+        dots = before_dots(last)
         for x in own[:-1]:
             if "..." in x:
                 dotted = ["..." + w for w in _DOTTED.findall(x)]
                 shapes += [0] * len(dotted)
                 closers += dotted
-            elif len(x) <= LONGEST_FORM and not (x[-1] in SENTENCE_ENDS or x[-1] in CLOSERS and _SENTENCE.search(x)):
+            elif not (x[-1] in SENTENCE_ENDS or x[-1] in CLOSERS and ends_sentence(x)):
                 shapes.append(shape(x))
                 closers.append(closing(x))
         bounds.append(len(shapes))
         words, whole, part = body.split(), text.encode("utf-8", "surrogatepass"), body.encode("utf-8", "surrogatepass")
+        complete = not last or dots is None and (ends_sentence(last) or bool(_LINK.match(last.strip())))
         rows.append((
-            source, _hash(whole), _hash(part), len(text), len(whole), len(body), len(part), len(words), _hash(" ".join(words[-WORDS - 1 :])) if len(words) > WORDS else 0, marked,
-            bool(_SENTENCE.search(last)) and dots is None or bool(_LINK.match(last.strip())) or len(words) <= 2 and not marked, 0 if dots else shape(last) if 0 < len(last) <= LONGEST_FORM else -1,
-            "..." + dots[1] if dots else closing(last),
+            sources[row], _hash(whole), _hash(part), len(text), len(whole), len(body), len(part), len(words), marked,
+            complete, None if complete else 0 if dots is not None else shape(last), None if complete else closing(last) if dots is None else "..." + dots,
         ))
         waiting.append(words)
         pending += len(words)
         if pending > 300_000:  # whole texts, in bounded memory
-            signed += sign.bands(waiting)
+            signed.append(sign.bands(waiting))
             waiting, pending = [], 0
-    signed += sign.bands(waiting) if waiting else []
-    names = "source digest body_digest chars octets body_chars body_octets words tail marked sentence shape closer".split()
-    kinds = [pa.string(), *[pa.int64()] * 8, pa.bool_(), pa.bool_(), pa.int64(), pa.string()]
+    signed.append(sign.bands(waiting))
+    names = "source digest body_digest chars octets body_chars body_octets words marked sentence shape closer".split()
+    kinds = [pa.string(), *[pa.int64()] * 7, pa.bool_(), pa.bool_(), pa.int64(), pa.string()]
     columns = list(zip(*rows)) if rows else [[] for _ in names]
     lines = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays([pa.array(shapes, pa.int64()), pa.array(closers, pa.string())], ["shape", "closer"]))
-    yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(kept_rows, pa.int32())), *[pa.array(list(c), k) for c, k in zip(columns, kinds)], lines, pa.array(signed, pa.list_(pa.int64()))], ["key", *names, "lines", "bands"])
+    bands = pa.array([b for s in signed for b in s[0]], pa.list_(pa.int64()))
+    stops, tails = (pa.array(np.concatenate([s[i] for s in signed]), pa.int64()) for i in (1, 2))
+    yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(kept_rows, pa.int32())), *[pa.array(list(c), k) for c, k in zip(columns, kinds)], lines, bands, stops, tails], ["key", *names, "lines", "bands", "stop", "tail"])
 
 
 MEASURES = ("chars", "octets", "body_chars", "body_octets")
@@ -217,20 +254,18 @@ def length_limits(ends: DataFrame) -> DataFrame:
     return seen.where(top | (F.col("n") >= F.col("level") + 5 * F.sqrt("level") + 5)).select("source", "measure", "length")
 
 
-def _at_limit(ends: DataFrame) -> DataFrame:
-    """key of the records whose text or body has a length at which their source piles up; of a body a blank at the cut may be lost."""
-    limits = cut_lineage(length_limits(ends))  # a few rows a source, used twice
-    near = limits.unionByName(limits.where("measure like 'body%'").withColumn("length", F.col("length") - 1)).distinct()
-    near = cut_lineage(near)
-    lengths = ends.select("key", "source", F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("length")) for m in MEASURES])).alias("x")).select("key", "source", "x.*")
-    return lengths.join(near, ["source", "measure", "length"]).select("key").distinct()
+def _limits_by_source(ends: DataFrame) -> DataFrame:
+    """source and, for each measure, the lengths at which it piles up (few a source); of a body a blank at the cut may be lost."""
+    limits = cut_lineage(length_limits(ends))
+    near = limits.unionByName(limits.where("measure like 'body%'").withColumn("length", F.col("length") - 1))
+    return near.groupBy("source").agg(*[F.collect_set(F.when(F.col("measure") == m, F.col("length"))).alias(f"{m}_limits") for m in MEASURES])
 
 
 def _line_closings(ends: DataFrame, least: float = 2e-5) -> tuple[DataFrame, DataFrame]:
     """(shape, open) of the usual wordings of complete lines, and the closers that complete lines have."""
     inner = ends.select(F.explode("lines").alias("x")).select("x.shape", "x.closer").groupBy("shape", "closer").agg(F.count("*").alias("n"))
     # Last lines are complete more often than not: a wording that three in ten thousand end with, and mostly with words that recur there, is a usual one.
-    last = ends.where("not sentence and shape > 0 or shape < -1").groupBy("shape", "closer").agg(F.count("*").alias("n"))
+    last = ends.where("shape <> 0").groupBy("shape", "closer").agg(F.count("*").alias("n"))
     often = last.groupBy("shape").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("n") >= 3, F.col("n")).otherwise(0)).alias("again")).where("again >= 0.5 * n").join(F.broadcast(ends.agg(F.count("*").alias("all"))), F.col("n") >= F.greatest(F.lit(5.0), F.col("all") * 0.0003)).select("shape")
     shaped = cut_lineage(inner.unionByName(last.join(often, "shape", "left_semi")).groupBy("shape", "closer").agg(F.sum("n").alias("n")))
     total = F.broadcast(shaped.agg(F.sum("n").alias("all")))
@@ -246,22 +281,54 @@ def _line_closings(ends: DataFrame, least: float = 2e-5) -> tuple[DataFrame, Dat
 
 
 def _cut_copies(ends: DataFrame, pages: DataFrame, wrapper: Wrapper) -> DataFrame:
-    """body_digest of the bodies whose alignment with any longer near-copy ends early. Equal bodies stand for one."""
-    single = ends.where(F.size("bands") > 0).groupBy("body_digest").agg(F.min("key").alias("key"), F.max("words").alias("words"), F.max("body_chars").alias("chars"), F.first("tail").alias("tail"), F.first("bands").alias("bands"))
-    slots = single.select("body_digest", "key", "words", "chars", "tail", F.size("bands").alias("n"), F.posexplode("bands").alias("at", "band"))
+    """body_digest of the bodies whose alignment with any longer near-copy ends early. Equal bodies stand for one.
+
+    No pairs of all members of a band are made. First every text meets the longest of each of its bands,
+    which finds the cut ones of a group of copies. A text that is not found so can only be cut inside a
+    longer text that holds its last shingle: such texts of its bands are looked up by that shingle.
+    """
+    single = ends.where(F.size("bands") > 0).groupBy("body_digest").agg(F.min("key").alias("key"), *[F.first(c).alias(c) for c in ("words", "body_chars", "stop", "tail", "bands")])
+    slots = single.select("body_digest", "key", "words", F.col("body_chars").alias("chars"), "stop", "tail", F.size("bands").alias("n"), F.posexplode("bands").alias("at", "band"))
     # A text that may be a cut copy is known by its whole and its longest opening, over half of it; the openings of the longer text meet both.
     asks = (F.col("at") < BANDS) | (F.col("at") >= F.col("n") - BANDS)
-    slots = slots.select("body_digest", "key", "words", "chars", "tail", "band", asks.alias("asks"))
-    shared = slots.groupBy("band").agg(F.count("*").alias("n"), F.bool_or("asks").alias("asked")).where("n > 1 and asked").select("band")
-    met = cut_lineage(slots.join(cut_lineage(shared), "band"))
-    wholes = met.select("band", F.col("key").alias("longer"), F.col("words").alias("most"), F.col("chars").alias("most_chars"), F.col("tail").alias("other_tail"))
-    # Every text meets all longer ones of its band; of equal word counts the one of fewer characters may be cut. Texts of the same last six words end together.
-    pairs = met.where("asks").join(wholes, "band").where("(words < most or words = most and chars < most_chars) and (tail = 0 or tail <> other_tail)")
-    pairs = cut_lineage(pairs.select("key", "body_digest", "longer").distinct())
-    wanted = pairs.select("key").unionByName(pairs.select(F.col("longer").alias("key"))).distinct()
-    bodies = map_pages(cut_lineage(pages.join(wanted, "key", "left_semi")), wrapper, body_rows, f"key {dict(pages.dtypes)['key']}, body string")
-    bodies = cut_lineage(bodies)
-    both = pairs.join(bodies, "key").join(bodies.withColumnsRenamed({"key": "longer", "body": "whole"}), "longer")
+    slots = slots.withColumn("asks", asks).drop("n", "at")
+    # Texts of the same last six words end together; a band of one ending has none that is cut inside another.
+    differ = (F.min("tail") != F.max("tail")) | (F.min("tail") == 0)
+    shared = cut_lineage(slots.groupBy("band").agg(F.count("*").alias("n"), F.bool_or("asks").alias("asked"), differ.alias("differ")).where("n > 1 and asked and differ").select("band", "n"))
+    hot = cut_lineage(shared.join(F.broadcast(shared.agg(F.sum("n").alias("all"))), F.col("n") >= F.greatest(F.lit(100), F.col("all") * 0.005)).select("band"))  # two hundred at most
+    met = cut_lineage(lookup_join(slots, shared.drop("n"), ["band"], how="inner", hot=hot))
+    bodies = cut_lineage(map_pages(pages.join(met.select("key").distinct(), "key", "left_semi"), wrapper, body_rows, f"key {dict(pages.dtypes)['key']}, body string"))
+
+    longer = "(words < most or words = most and chars < most_chars) and (tail = 0 or tail <> other_tail)"
+    whole = F.struct(F.col("key").alias("longer"), F.col("words").alias("most"), F.col("chars").alias("most_chars"), F.col("tail").alias("other_tail"))
+    tops = met.groupBy("band").agg(F.max_by(whole, F.struct("words", "chars", "key")).alias("top")).select("band", "top.*")
+    asking = met.where("asks").drop("asks")
+    tried = lookup_join(asking, cut_lineage(tops), ["band"], how="inner", hot=hot).where(longer).select("body_digest", "key", "longer").distinct()
+    found = cut_lineage(_verified(tried, bodies))
+
+    left = cut_lineage(asking.join(found, "body_digest", "left_anti"))
+    asked = left.groupBy("body_digest", "key", "words", "chars", "stop", "tail").agg(F.collect_set("band").alias("bands"))  # two sets of BANDS at most
+    in_bands = lookup_join(met, cut_lineage(left.select("band").distinct()), ["band"], how="inner", hot=hot)
+    wholes = in_bands.groupBy(F.col("key").alias("longer"), F.col("words").alias("most"), F.col("chars").alias("most_chars"), F.col("tail").alias("other_tail")).agg(F.collect_set("band").alias("their_bands"))
+    inner = bodies.join(wholes.select(F.col("longer").alias("key")), "key", "left_semi").mapInPandas(_inner_shingles, f"longer {dict(pages.dtypes)['key']}, stop long")
+    holding = cut_lineage(lookup_join(inner, cut_lineage(asked.select("stop", F.lit(True).alias("wanted")).distinct()), ["stop"], how="inner").drop("wanted"))
+    pairs = asked.join(holding, "stop").join(wholes, "longer").where(longer).where(F.arrays_overlap("bands", "their_bands"))
+    return found.unionByName(_verified(pairs.select("body_digest", "key", "longer").distinct(), bodies)).distinct()
+
+
+def _inner_shingles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """longer, stop: the distinct shingles of each body but its last, behind which nothing follows."""
+    for frame in frames:
+        for key, body in zip(frame["key"], frame["body"]):
+            grams = np.unique(Signer.shingles(body.split())[:-1].view(np.int64))
+            if len(grams):
+                yield pd.DataFrame({"longer": [key] * len(grams), "stop": grams})
+
+
+def _verified(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
+    """body_digest of the pairs (body_digest, key, longer) whose text ends early in the longer one."""
+    short = cut_lineage(pairs.join(bodies, "key").drop("key"))
+    both = lookup_join(short, bodies.withColumnsRenamed({"key": "longer", "body": "whole"}), ["longer"], how="inner")
 
     def align(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -296,7 +363,7 @@ def truncated(df: DataFrame, key: str = "doc_id", text: str = "text", url: str =
     """key, source, reason: the records whose text, or whose main body, was cut before its end.
 
     reason is the first of 'copy', 'limit', 'mark' and 'closing' that tells. Null, empty and blank
-    texts are not cut, nor are texts of one or two words without a mark: they may be a name. Records with a null source have no limit of their own. Texts are read whole;
+    texts are not cut, nor are texts without a main body. Records with a null source have no limit of their own. Texts are read whole;
     rows with the same key are judged each, and the key is listed once. Other columns are ignored.
     """
     pages = pages_of(df.withColumn("source_", F.col(source)), key, text, url, lang, extra=("source_",))
@@ -304,16 +371,15 @@ def truncated(df: DataFrame, key: str = "doc_id", text: str = "text", url: str =
     kind = dict(pages.dtypes)["key"]
     ends = cut_lineage(map_pages(pages, wrapper, _ends, _ENDS.format(kind=kind), ("source_",)))
     shapes, known = _line_closings(ends)
-    # A long last line has no shape; all of those share no key.
-    columns = ["key", "source", "body_digest", "marked", "sentence", "shape", "closer"]
-    shaped = ends.select(*columns).withColumn("shape", F.when((F.col("shape") != -1) & ~F.col("sentence"), F.col("shape"))).withColumn("closer", F.when(~F.col("sentence"), F.col("closer")))
+    limited = F.lit(False)
+    for m in MEASURES:
+        limited = limited | F.coalesce(F.array_contains(f"{m}_limits", F.col(m)), F.lit(False))
+    placed = lookup_join(ends.select("key", "source", "body_digest", "marked", "sentence", "shape", "closer", *MEASURES), cut_lineage(_limits_by_source(ends)), ["source"])
+    shaped = cut_lineage(placed.select("key", "source", "body_digest", "marked", "sentence", "shape", "closer", limited.alias("limited")))
     judged = cut_lineage(lookup_join(cut_lineage(lookup_join(shaped, shapes, ["shape"])), known, ["closer"]))
-    closes = F.when(F.col("sentence"), True).when(F.col("shape").isNull(), False).when(F.col("shape") == 0, F.col("closes").isNotNull()).otherwise(
-        F.col("open").isNotNull() & (F.col("closes").isNotNull() | (F.col("open") > 0.3))
-    )
-    limited = cut_lineage(_at_limit(ends)).withColumn("limited", F.lit(True))
+    closes = F.when(F.col("sentence"), True).when(F.col("shape") == 0, F.col("closes").isNotNull()).otherwise(F.col("open").isNotNull() & (F.col("closes").isNotNull() | (F.col("open") > 0.3)))
     copies = cut_lineage(_cut_copies(ends, pages, wrapper)).withColumn("copied", F.lit(True))
-    told = judged.withColumn("closed", closes).join(limited, "key", "left").join(copies, "body_digest", "left")
+    told = lookup_join(judged.withColumn("closed", closes), copies, ["body_digest"])
     reason: Column = F.when(F.col("copied"), "copy").when(F.col("limited"), "limit").when(F.col("marked"), "mark").when(~F.col("closed"), "closing")
     return told.withColumn("reason", reason).where("reason is not null").groupBy("key").agg(F.min("source").alias("source"), F.min("reason").alias("reason")).withColumnRenamed("key", key)
 

@@ -85,20 +85,47 @@ def test_of_equal_word_counts_the_shorter_is_cut(spark):
     assert not t.ends_early([*words, "other"], [*words, "complete."])
 
 
-def test_copies_of_half_and_three_quarters(spark):
+def test_copies_cut_at_every_depth(spark):
     texts, cut = [], set()
-    for n in range(12):
-        words = [f"v{n}x{i}" for i in range(120)]
+    for n in range(27):
+        words = [f"v{n}x{i}" for i in range(150)]
         cut.add(len(texts))
-        texts += [" ".join(words[: (15, 60, 75, 90)[n % 4]]) + ".", " ".join(words) + "."]
+        texts += [" ".join(words[: 15 * (1 + n % 9)]) + ".", " ".join(words) + "."]  # 10, 20, ... 90 % are left
     assert copies(spark, texts) == cut
 
 
+def test_a_hot_group_is_not_paired(spark, monkeypatch):
+    """A third of all rows are near-copies: cut at many places, whole with one ending, and whole with endings of their own."""
+    words = [f"v{i}" for i in range(200)]
+    cut = [" ".join(words[:n]) + "." for n in range(100, 190)]
+    own_end = [" ".join([*words[:195], *(f"e{n}x{i}" for i in range(5))]) + "." for n in range(90)]
+    whole = [" ".join(words) + ".", " ".join(["Here", *words]) + "."]
+    other = [" ".join(f"o{n}x{i}" for i in range(40)) + "." for n in range(360)]
+    tried = []
+    verified = t._verified
+    monkeypatch.setattr(t, "_verified", lambda pairs, bodies: (tried.append(pairs.count()), verified(pairs, bodies))[1])
+    assert copies(spark, cut + own_end + whole + other) == set(range(len(cut)))
+    members = len(cut) + len(own_end) + 2
+    assert sum(tried) < 6 * members < members * members / 8
+
+
+def test_ends_and_closings_of_any_length():
+    long = "word " * 40_000
+    assert t.omitted(long + "[ more ]") and t.omitted(long + "(Continued)") and t.omitted("x…") and t.omitted("x\ufffd\ufffd")
+    assert not t.omitted(long + "[12]") and not t.omitted("more]") and not t.omitted("")
+    assert t.closing(long + "Model") == "~el" and t.closing("a v2") == "v2" and t.closing("of 1,234.5") == "#" and t.closing("12.") == "#." and t.closing("x)") == ")" and t.closing("3D") == "~D" and t.closing("") == ""
+    assert t.closing("模" * 100_000) == "模" * 100_000
+    assert t.before_dots("and so on...”") == "on" and t.before_dots("...") == "" and t.before_dots("on.") is None
+    assert t.ends_sentence("Done.”)") and t.ends_sentence("好。") and not t.ends_sentence("Done") and not t.ends_sentence("")
+    assert t.form("- " + "Ab cd " * 100) == t.form("- " + "Ab cd " * 100) and t.form("Ab cd") != t.form("ab cd")
+
+
 def test_openings_share_their_bands():
     sign = t.Signer()
     words = [f"w{i}" for i in range(200)]
     for size in (12, 13, 19, 20, 36, 99, 150):
         n = t.openings(size - 4)
-        short, whole = sign.bands([words[:size], words])
+        (short, whole), stops, tails = sign.bands([words[:size], words])
+        assert tails[0] != tails[1] and stops[0] in t.Signer.shingles(words).view("int64")[:-1]
         assert len(short) == (n + 1) * t.BANDS and short[t.BANDS :] == whole[t.BANDS : (n + 1) * t.BANDS]
-    assert sign.bands([[], words[:3]])[0] == [] and len(sign.bands([words[:3]])[0]) == t.BANDS
+    assert sign.bands([[], words[:3]])[0][0] == [] and len(sign.bands([words[:3]])[0][0]) == t.BANDS and sign.bands([])[0] == []
