@@ -252,7 +252,9 @@ def induce(pages: DataFrame, steady: float = 0.01, rare: float = 0.0005) -> Wrap
     kinds = lang_sizes.join(framed, "host", "left")
     volume = cut_lineage(kinds.groupBy("lang").agg(F.sum(F.when(F.col("framed"), F.col("lang_size")).otherwise(0)).alias("all_on"), F.sum(F.when(F.col("framed"), 0).otherwise(F.col("lang_size"))).alias("all_off")))
     total = volume.agg(F.sum("all_on")).first()[0] or 0
-    by_host = cut_lineage(lookup_join(counts, framed, ["host"]).withColumn("framed", F.coalesce("framed", F.lit(False))))
+    pages_of_all = F.broadcast(sizes.agg(F.sum("size").alias("pages")))
+    hot = cut_lineage(sizes.crossJoin(pages_of_all).where(F.col("size") >= HOT * F.col("pages")).select("host"))  # 1 / HOT hosts at most
+    by_host = cut_lineage(lookup_join(counts, framed, ["host"], hot=hot).withColumn("framed", F.coalesce("framed", F.lit(False))))
     off = by_host.where(~F.col("framed")).groupBy("node", "lang").agg(F.sum("pages").alias("off"))
 
     # A host's constant nodes are firm ones, and common ones that pages without a template lack.
@@ -264,7 +266,6 @@ def induce(pages: DataFrame, steady: float = 0.01, rare: float = 0.0005) -> Wrap
     lacking = (F.col("expected") >= 6) & (F.col("off") < 0.1 * F.col("expected"))
     constant = cut_lineage(judged.where(lacking | F.col("firm") & ((F.col("expected") < 6) | (F.col("off") < 0.3 * F.col("expected")))).select("host", "node", "firm"))
     lists = constant.groupBy("host").agg(F.collect_list("node").alias("constant"))
-    pages_of_all = F.broadcast(sizes.agg(F.sum("size").alias("pages")))
     hosts = cut_lineage(lists.join(sizes, "host").crossJoin(pages_of_all).select("host", "constant", (F.col("size") >= HOT * F.col("pages")).alias("hot")))
 
     on = by_host.where("framed").join(constant.where("firm"), ["host", "node"], "left_anti").groupBy("node", "lang").agg(F.sum("pages").alias("on"))

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from ..operators.skew import lookup_join
 from ..session import cut_lineage
 from .boilerplate import Pages, Wrapper, _hash, body_rows, induce, map_pages, pages_of
+from .line_nodes import hashes
 
 WORDS, BANDS, ROWS, SIMILAR = 5, 10, 4, 0.8
 OPENING = 8  #: shingles of the shortest opening; the others are twice as long each
@@ -33,29 +35,31 @@ SENTENCE_ENDS, CLOSERS = ".!?。！？", "'\"”’»)]"
 MARKS = frozenset(" \t*•·›»>-–—#$(0123456789")
 _DOTTED = re.compile(r"(\w+)\.\.\.(?:$| )")
 _LINK = re.compile(r"^(?:https?|ftp)://\S+$")
-_BULLET = re.compile(r"^(?:[*•·›»>\-–—]+|\(?\d{1,3}[.)])\s+")
 
 
-_CLASS = {**{chr(c): "C" for c in range(0x41, 0x5B)}, **{chr(c): "x" for c in range(0x61, 0x7B)}, **{chr(c): "#" for c in range(0x30, 0x3A)}}
-_CLASSES = str.maketrans(_CLASS | {c: "x" for c in "àáâãäåæçèéêëìíîïñòóôõöøùúûüýÿßœ"} | {c: "C" for c in "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝŒ"})
-_RUN = re.compile(r"([Cx#])\1+")
-_MIXED = re.compile(r"[Cx#]*(?:[Cx]#|#[Cx])[Cx#]*")
+_LOWER, _UPPER = "a-zàáâãäåæçèéêëìíîïñòóôõöøùúûüýÿßœ", "A-ZÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝŒ"
+_MIXED = r"[Cx#]*(?:[Cx]#|#[Cx])[Cx#]*"
 _SAME = re.compile(r"(?:(?<= )|^)([Cx#]+)(?: \1)+(?= |$)")
 
 
-def form(line: str) -> str:
-    """How a line of any length is built: its list mark, signs, and runs of words and numbers by the kinds of their characters."""
-    text = line.strip()
-    bare = _BULLET.sub("", text)
-    head, comma, _ = bare.partition(", ")
-    bare = head + ", …" if comma else bare  # who or what stands behind a comma takes many forms
-    return ("* " if len(bare) < len(text) else "") + _SAME.sub(r"\1", _MIXED.sub("w", _RUN.sub(r"\1", bare.translate(_CLASSES))))
+def forms(lines: list[str]) -> list[str]:
+    """How lines of any length are built: list mark, signs, and runs of words and numbers by the kinds of their characters.
+
+    Who or what stands behind a comma takes many forms, so it is left out.
+    """
+    text = pc.utf8_trim_whitespace(pa.array(lines, pa.large_string()))
+    bare = pc.replace_substring_regex(text, r"^(?:[*•·›»>\-–—]+|\(?[0-9]{1,3}[.)])\s+", "")
+    listed = pc.less(pc.binary_length(bare), pc.binary_length(text)).to_pylist()
+    bare = pc.replace_substring_regex(bare, r"(?s), .*$", ", …")
+    for found, kind in ((f"[{_LOWER}]+", "x"), (f"[{_UPPER}]+", "C"), ("[0-9#]+", "#"), (_MIXED, "w")):
+        bare = pc.replace_substring_regex(bare, found, kind)
+    return [("* " if mark else "") + (_SAME.sub(r"\1", x) if " " in x else x) for mark, x in zip(listed, bare.to_pylist())]
 
 
 def closing(line: str) -> str:
     """The last word of a line in the form in which it can recur: a lower word itself, of a capital one the last two letters, # for a number, else the last sign."""
     token = line.rstrip().rpartition(" ")[2]
-    at = len(token)
+    at = 0 if token.isalnum() else len(token)
     while at and token[at - 1].isalnum():
         at -= 1
     word = token[at:].lstrip("0123456789")
@@ -174,20 +178,27 @@ def openings(count: int) -> int:
     return ((count - 1) // OPENING).bit_length()
 
 
-_ENDS = "key {kind}, source string, digest long, body_digest long, chars long, octets long, body_chars long, body_octets long, words long, marked boolean, sentence boolean, shape long, closer string, lines array<struct<shape:long,closer:string>>, bands array<long>, stop long, tail long"
+_ENDS = "key {kind}, source string, digest long, body_digest long, chars long, octets long, body_chars long, body_octets long, words long, marked boolean, sentence boolean, closer string, shape long, lines array<struct<shape:long,closer:string>>, bands array<long>, stop long, tail long"
 
 
 def _ends(judge: Pages, batch: pa.RecordBatch, constants: list[set[int]]) -> Iterator[pa.RecordBatch]:
     sign = Signer()
     rows, kept_rows, signed, waiting, pending = [], [], [], [], 0
-    shapes: list[int] = []
+    shapes: list[int | None] = []  # None: of its line's form, told for the whole batch at the end
     closers: list[str] = []
     bounds = [0]
+    formed: list[str] = []  # the lines of those, then last lines
+    ending: list[int | None] = []
 
-    def shape(line: str) -> int:
+    def shape(line: str, shapes: list[int | None]) -> None:
         """Titles are one shape, whatever they are about; what has a list mark is none."""
-        titled = line[0] not in MARKS and judge.worded(line) in judge.titles
-        return 1 if titled else _hash(form(line))
+        if line[0] not in MARKS and judge.worded(line) in judge.titles:
+            shapes.append(1)
+        else:
+            shapes.append(None)
+            formed.append(line)
+
+    lasts: list[str] = []
 
     texts, sources = batch.column(2).to_pylist(), batch.column(4).to_pylist()
     for row, (page, outside, ragged) in enumerate(judge.judged(batch, constants)):
@@ -208,14 +219,15 @@ def _ends(judge: Pages, batch: pa.RecordBatch, constants: list[set[int]]) -> Ite
                 shapes += [0] * len(dotted)
                 closers += dotted
             elif not (x[-1] in SENTENCE_ENDS or x[-1] in CLOSERS and ends_sentence(x)):
-                shapes.append(shape(x))
+                shape(x, shapes)
                 closers.append(closing(x))
         bounds.append(len(shapes))
         words, whole, part = body.split(), text.encode("utf-8", "surrogatepass"), body.encode("utf-8", "surrogatepass")
         complete = not last or dots is None and (ends_sentence(last) or bool(_LINK.match(last.strip())))
+        lasts.append("" if complete or dots is not None else last)
         rows.append((
             sources[row], _hash(whole), _hash(part), len(text), len(whole), len(body), len(part), len(words), marked,
-            complete, None if complete else 0 if dots is not None else shape(last), None if complete else closing(last) if dots is None else "..." + dots,
+            complete, None if complete else closing(last) if dots is None else "..." + dots,
         ))
         waiting.append(words)
         pending += len(words)
@@ -223,13 +235,21 @@ def _ends(judge: Pages, batch: pa.RecordBatch, constants: list[set[int]]) -> Ite
             signed.append(sign.bands(waiting))
             waiting, pending = [], 0
     signed.append(sign.bands(waiting))
-    names = "source digest body_digest chars octets body_chars body_octets words marked sentence shape closer".split()
-    kinds = [pa.string(), *[pa.int64()] * 7, pa.bool_(), pa.bool_(), pa.int64(), pa.string()]
+    for last, row in zip(lasts, rows):
+        if last:
+            shape(last, ending)
+        else:
+            ending.append(None if row[9] else 0)
+    told = iter(hashes(pa.array(forms(formed), pa.string())).tolist())
+    shapes = [next(told) if n is None else n for n in shapes]
+    ending = [next(told) if n is None and last else n for n, last in zip(ending, lasts)]
+    names = "source digest body_digest chars octets body_chars body_octets words marked sentence closer".split()
+    kinds = [pa.string(), *[pa.int64()] * 7, pa.bool_(), pa.bool_(), pa.string()]
     columns = list(zip(*rows)) if rows else [[] for _ in names]
     lines = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.StructArray.from_arrays([pa.array(shapes, pa.int64()), pa.array(closers, pa.string())], ["shape", "closer"]))
     bands = pa.array([b for s in signed for b in s[0]], pa.list_(pa.int64()))
     stops, tails = (pa.array(np.concatenate([s[i] for s in signed]), pa.int64()) for i in (1, 2))
-    yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(kept_rows, pa.int32())), *[pa.array(list(c), k) for c, k in zip(columns, kinds)], lines, bands, stops, tails], ["key", *names, "lines", "bands", "stop", "tail"])
+    yield pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(kept_rows, pa.int32())), *[pa.array(list(c), k) for c, k in zip(columns, kinds)], pa.array(ending, pa.int64()), lines, bands, stops, tails], ["key", *names, "shape", "lines", "bands", "stop", "tail"])
 
 
 MEASURES = ("chars", "octets", "body_chars", "body_octets")
@@ -287,8 +307,7 @@ def _cut_copies(ends: DataFrame, pages: DataFrame, wrapper: Wrapper) -> DataFram
     which finds the cut ones of a group of copies. A text that is not found so can only be cut inside a
     longer text that holds its last shingle: such texts of its bands are looked up by that shingle.
     """
-    single = ends.where(F.size("bands") > 0).groupBy("body_digest").agg(F.min("key").alias("key"), *[F.first(c).alias(c) for c in ("words", "body_chars", "stop", "tail", "bands")])
-    slots = single.select("body_digest", "key", "words", F.col("body_chars").alias("chars"), "stop", "tail", F.size("bands").alias("n"), F.posexplode("bands").alias("at", "band"))
+    slots = ends.select("body_digest", "key", "words", F.col("body_chars").alias("chars"), "stop", "tail", F.size("bands").alias("n"), F.posexplode("bands").alias("at", "band"))
     # A text that may be a cut copy is known by its whole and its longest opening, over half of it; the openings of the longer text meet both.
     asks = (F.col("at") < BANDS) | (F.col("at") >= F.col("n") - BANDS)
     slots = slots.withColumn("asks", asks).drop("n", "at")
@@ -296,7 +315,8 @@ def _cut_copies(ends: DataFrame, pages: DataFrame, wrapper: Wrapper) -> DataFram
     differ = (F.min("tail") != F.max("tail")) | (F.min("tail") == 0)
     shared = cut_lineage(slots.groupBy("band").agg(F.count("*").alias("n"), F.bool_or("asks").alias("asked"), differ.alias("differ")).where("n > 1 and asked and differ").select("band", "n"))
     hot = cut_lineage(shared.join(F.broadcast(shared.agg(F.sum("n").alias("all"))), F.col("n") >= F.greatest(F.lit(100), F.col("all") * 0.005)).select("band"))  # two hundred at most
-    met = cut_lineage(lookup_join(slots, shared.drop("n"), ["band"], how="inner", hot=hot))
+    met = lookup_join(slots, shared.drop("n"), ["band"], how="inner", hot=hot)
+    met = cut_lineage(met.groupBy("band", "body_digest", "words", "chars", "stop", "tail").agg(F.min("key").alias("key"), F.bool_or("asks").alias("asks")))
     bodies = cut_lineage(map_pages(pages.join(met.select("key").distinct(), "key", "left_semi"), wrapper, body_rows, f"key {dict(pages.dtypes)['key']}, body string"))
 
     longer = "(words < most or words = most and chars < most_chars) and (tail = 0 or tail <> other_tail)"
@@ -310,19 +330,17 @@ def _cut_copies(ends: DataFrame, pages: DataFrame, wrapper: Wrapper) -> DataFram
     asked = left.groupBy("body_digest", "key", "words", "chars", "stop", "tail").agg(F.collect_set("band").alias("bands"))  # two sets of BANDS at most
     in_bands = lookup_join(met, cut_lineage(left.select("band").distinct()), ["band"], how="inner", hot=hot)
     wholes = in_bands.groupBy(F.col("key").alias("longer"), F.col("words").alias("most"), F.col("chars").alias("most_chars"), F.col("tail").alias("other_tail")).agg(F.collect_set("band").alias("their_bands"))
-    inner = bodies.join(wholes.select(F.col("longer").alias("key")), "key", "left_semi").mapInPandas(_inner_shingles, f"longer {dict(pages.dtypes)['key']}, stop long")
+    inner = cut_lineage(bodies.join(wholes.select(F.col("longer").alias("key")), "key", "left_semi").mapInPandas(_inner_shingles, f"longer {dict(pages.dtypes)['key']}, stop long"))
     holding = cut_lineage(lookup_join(inner, cut_lineage(asked.select("stop", F.lit(True).alias("wanted")).distinct()), ["stop"], how="inner").drop("wanted"))
     pairs = asked.join(holding, "stop").join(wholes, "longer").where(longer).where(F.arrays_overlap("bands", "their_bands"))
     return found.unionByName(_verified(pairs.select("body_digest", "key", "longer").distinct(), bodies)).distinct()
 
 
 def _inner_shingles(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """longer, stop: the distinct shingles of each body but its last, behind which nothing follows."""
+    """longer, stop: the shingles of each body but its last, behind which nothing follows; repeats within the body once."""
     for frame in frames:
-        for key, body in zip(frame["key"], frame["body"]):
-            grams = np.unique(Signer.shingles(body.split())[:-1].view(np.int64))
-            if len(grams):
-                yield pd.DataFrame({"longer": [key] * len(grams), "stop": grams})
+        found = [np.unique(Signer.shingles(body.split())[:-1].view(np.int64)) for body in frame["body"]]
+        yield pd.DataFrame({"longer": frame["key"].repeat([len(g) for g in found]).to_numpy(), "stop": np.concatenate(found) if found else np.zeros(0, np.int64)})
 
 
 def _verified(pairs: DataFrame, bodies: DataFrame) -> DataFrame:

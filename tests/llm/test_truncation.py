@@ -117,7 +117,8 @@ def test_ends_and_closings_of_any_length():
     assert t.closing("模" * 100_000) == "模" * 100_000
     assert t.before_dots("and so on...”") == "on" and t.before_dots("...") == "" and t.before_dots("on.") is None
     assert t.ends_sentence("Done.”)") and t.ends_sentence("好。") and not t.ends_sentence("Done") and not t.ends_sentence("")
-    assert t.form("- " + "Ab cd " * 100) == t.form("- " + "Ab cd " * 100) and t.form("Ab cd") != t.form("ab cd")
+    lines = ["- " + "Ab cd " * 100, "12) Ab cd", "Ab cd", "abc def ghi", "GPT4 v2 of 3,5 and Élan", "Y. Duces, Luxo, GmbH", long + "Ab", "", "模型 Ab"]
+    assert t.forms(lines) == ["* " + "Cx x " * 99 + "Cx x", "* Cx x", "Cx x", "x", "w w x #,# x Cx", "C. Cx, …", "x Cx", "", "模型 Cx"] and t.forms([]) == []
 
 
 def test_openings_share_their_bands():
