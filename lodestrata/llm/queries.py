@@ -9,19 +9,26 @@ from ..session import table
 from . import boilerplate, consensus, entity_match, packing, tokenizer, truncation
 
 
-def _matched(spark: SparkSession, folder: str) -> DataFrame:
-    return entity_match.match(
-        table(spark, folder, "models"), table(spark, folder, "model_aliases"), our_id="id", our_name=F.coalesce("canonical_name", "normalized_name"), our_size=F.col("parameters"),
-        our_owner="organization", their_id="model_id", their_name=F.coalesce("alias", "normalized_alias"), their_size=F.col("size_label"), their_owner="publisher",
-    )
+def _registries(spark: SparkSession, folder: str) -> tuple[tuple[DataFrame, DataFrame], dict]:
+    columns = {
+        "our_id": "id", "our_name": F.coalesce("canonical_name", "normalized_name"), "our_size": F.col("parameters"), "our_owner": "organization",
+        "their_id": "model_id", "their_name": F.coalesce("alias", "normalized_alias"), "their_size": F.col("size_label"), "their_owner": "publisher",
+    }
+    return (table(spark, folder, "models"), table(spark, folder, "model_aliases")), columns
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
-    return _matched(spark, folder).select("model_id", "alias_model_id")
+    return p3_matches(spark, folder).select("model_id", "alias_model_id")
 
 
 def p3_matches(spark: SparkSession, folder: str) -> DataFrame:
-    return _matched(spark, folder)
+    tables, columns = _registries(spark, folder)
+    return entity_match.match(*tables, **columns)
+
+
+def p3_calibration(spark: SparkSession, folder: str) -> DataFrame:
+    tables, columns = _registries(spark, folder)
+    return entity_match.calibration(*tables, **columns)
 
 
 def _ranked(spark: SparkSession, folder: str) -> tuple[DataFrame, dict]:
@@ -97,5 +104,5 @@ union all select id, 'confidence', arg_min(model_row, (-c, model_row)) from m se
 union all select id, 'updated_at', arg_min(model_row, (-epoch_us(u), model_row)) from m semi join twice using (id) where u is not null group by id
 """
 
-QUERIES = {"p3_found": p3_found, "p3_matches": p3_matches, "p4_found": p4_found, "p4_records": p4_records, "p7_found": p7_found, "p8_ids": p8_ids, "p9_items": p9_items, "p9_fill": p9_fill, "p10_found": p10_found, "p10_rates": p10_rates}
+QUERIES = {"p3_found": p3_found, "p3_matches": p3_matches, "p3_calibration": p3_calibration, "p4_found": p4_found, "p4_records": p4_records, "p7_found": p7_found, "p8_ids": p8_ids, "p9_items": p9_items, "p9_fill": p9_fill, "p10_found": p10_found, "p10_rates": p10_rates}
 ORACLES = {"p4_found": _P4}

@@ -68,3 +68,49 @@ def test_owner_likeness():
     like = lambda a, b: entity_match.owner_likeness(entity_match._owner(a), entity_match._owner(b), a or "", b or "")
     assert like("Nizes Labs", "nizes-labs") == like("NL", "Nizes Labs") == like("Nizes", "Nizes Labs") == like("Nizes Lbas", "Nizes Labs") == 1
     assert like("Nizes Labs", "Hezer Institute") == 0 and like(None, "x") == -1
+
+
+def test_likenesses_are_those_of_each_pair():
+    rng = random.Random(5)
+    names = ["", "a", "é", "x" * 70, "x" * 69 + "y", *("".join(rng.choice("abcd") for _ in range(rng.randrange(1, 15))) for _ in range(300))]
+    a, b = [rng.choice(names) for _ in range(3000)], [rng.choice(names) for _ in range(3000)]
+    assert entity_match.likenesses(a, b).tolist() == pytest.approx([entity_match.likeness(x, y) for x, y in zip(a, b)])
+    assert entity_match.likenesses([], []).tolist() == [] and entity_match.likenesses(["ab"], ["ba"])[0] == 0.5
+
+
+def matcher(spark, models, aliases):
+    m = spark.createDataFrame(models, "id string, name string, size long, owner string, modality string")
+    a = spark.createDataFrame(aliases, "model_id string, alias string, label string, owner string, modality string")
+    return entity_match.Matcher(m, a, our_id="id", our_name=F.col("name"), our_size=F.col("size"), our_owner="owner", their_id="model_id", their_name=F.col("alias"), their_size=F.col("label"), their_owner="owner")
+
+
+def test_candidates_disagree_and_labels_come_from_unseen_rows(spark):
+    models, aliases, _ = corpus(150)
+    exact = {i: n for i, n, *_ in models}
+    aliases += [(k, exact["m" + k[1:]], None, None, None) for k in sorted({a[0] for a in aliases}) if int(k[1:]) % 2]
+    models += [(f"v{i}", n.replace("B", "B v5", 1) if " v" not in n else n.replace(" v", " v1.", 1), s, o, m) for i, (_, n, s, o, m) in enumerate(models)]
+    made = matcher(spark, models, aliases)
+    seen = made.candidates(made.other).agg(*[F.sum(f"{c}_other").alias(c) for c in ("size", "version", "tuning")]).first()
+    assert seen["size"] > 0
+    p, y = made.classifier.held_out
+    assert len(y) >= 20 and y.mean() > 0
+    assert abs(p - y).mean() < 0.1 and made.classifier.calibration()
+
+
+def test_few_labels_take_no_other_path():
+    import numpy as np
+
+    none = entity_match.Classifier(np.zeros((0, len(entity_match.FEATURES))), np.zeros(0))
+    assert none.weights.tolist() == entity_match.Classifier.START.tolist() and none.calibration() == []
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 2, (40, len(entity_match.FEATURES))).astype(float)
+    some = entity_match.Classifier(x, x[:, 3])
+    assert some.weights[4] > none.weights[4]
+
+
+def test_a_hot_kind(spark):
+    """A third of all rows are one model under ids of their own: paired in turn, whole."""
+    models = [(f"h{i}", "Velito v2 7B Chat", 7 * 10**9, "Some Labs", "text") for i in range(80)] + [(f"m{i}", f"Kori{chr(97 + i % 26)}{chr(97 + i // 26)}nozu v3 13B Base", 13 * 10**9, None, None) for i in range(100)]
+    aliases = [(f"x{i}", "velito_v2_7b_conv", "7B", None, None) for i in range(120)]
+    rows = run(spark, models, aliases).collect()
+    assert len(rows) == 80 == len({r["model_id"] for r in rows}) == len({r["alias_model_id"] for r in rows})
