@@ -11,6 +11,7 @@ import zoneinfo
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Month names in English, German, French and Spanish, January first.
@@ -204,19 +205,57 @@ def _date(p: Column) -> Column:
     )
 
 
-def estimate_zones(df: DataFrame, source: Column, wall: Column, reference: Column, candidates: list[str], lag_minutes: int = 1) -> DataFrame:
-    """source, zone: of the candidate zones the one whose offset history violates the references least.
+def sequence_bounds(df: DataFrame, group: list[str], order: str, known: Column, block: int = 100_000) -> DataFrame:
+    """df with lower and upper: the known instants nearest before and behind each row in the sequence order (a number) of its group; null without one.
 
-    wall is a local timestamp_ntz, reference a UTC timestamp_ntz known for the same row (a stated
-    instant, or the time of ingestion). A row violates a zone if its instant there is after the
-    reference or more than lag_minutes before it. Ties go to the smaller total distance, then to the
-    first candidate by name. Rows with nulls say nothing; a source of such rows alone is left out.
-    Counts are pre-aggregated, so a hot source is no hot task.
+    Sequences are cut into blocks of order, and what a block does not hold comes from a table with a row per
+    block, so no group is sorted in one task. Rows of equal order are neighbours in either way.
     """
-    rows = df.select(source.alias("source"), wall.alias("wall_"), reference.alias("seen_")).dropna()
-    tried = rows.withColumn("zone", F.explode(F.array(*[F.lit(z) for z in sorted(candidates)])))
-    seconds = F.timestamp_diff("SECOND", F.convert_timezone(F.col("zone"), F.lit("UTC"), F.col("wall_")), F.col("seen_"))
-    counted = tried.withColumn("apart_", seconds).groupBy("source", "zone").agg(
-        F.count_if((F.col("apart_") < 0) | (F.col("apart_") > lag_minutes * 60)).alias("wrong_"), F.sum(F.abs("apart_")).alias("sum_")
+    at = df.withColumns({"block_": F.floor(F.col(order) / block), "known_": known})
+    within = W.partitionBy(*group, "block_")
+    reach = (W.unboundedPreceding, -1)
+    near = at.withColumn("lower", F.last("known_", True).over(within.orderBy(order).rowsBetween(*reach))).withColumn("upper", F.last("known_", True).over(within.orderBy(F.desc(order)).rowsBetween(*reach)))
+    ends = at.groupBy(*group, "block_").agg(F.max_by("known_", F.when(F.col("known_").isNotNull(), F.col(order))).alias("last_"), F.min_by("known_", F.when(F.col("known_").isNotNull(), F.col(order))).alias("first_"))
+    across = W.partitionBy(*group)
+    carried = ends.select(
+        *group, "block_", F.last("last_", True).over(across.orderBy("block_").rowsBetween(*reach)).alias("before_"), F.last("first_", True).over(across.orderBy(F.desc("block_")).rowsBetween(*reach)).alias("after_")
+    )
+    joined = near.join(carried, [*group, "block_"], "left")
+    return joined.withColumns({"lower": F.coalesce("lower", "before_"), "upper": F.coalesce("upper", "after_")}).drop("block_", "known_", "before_", "after_")
+
+
+def estimate_zones(df: DataFrame, source: Column, wall: Column, lower: Column, upper: Column, candidates: list[str], trusted: Column | None = None) -> DataFrame:
+    """source, zone: of the candidate zones the one whose offset history violates least what is known of the rows' instants.
+
+    wall is a local timestamp_ntz; lower and upper are UTC timestamp_ntz between which its instant must lie,
+    null where nothing is known: an instant stated beside it (both are that), the time of ingestion (upper, and
+    lower by the longest delay), or neighbours in sequence order (sequence_bounds). Violations of trusted
+    bounds count before those of others; where the others' counts differ by no more than chance, UTC is
+    taken; ties go to the history that stays least far from them, then to the first candidate by name. Rows without a wall time or a bound say nothing; a source of such rows alone
+    is left out.
+
+    A row says which offsets are possible: from wall - upper to wall - lower, in steps of five minutes. Rows
+    are counted by source, hour and these before candidates are tried, and candidates of the same offsets
+    are tried once, so a hot source is no hot task.
+    """
+    least = F.ceil(F.timestamp_diff("SECOND", upper, wall) / 300) * 5
+    most = F.floor(F.timestamp_diff("SECOND", lower, wall) / 300) * 5
+    day = 24 * 60
+    rows = df.select(
+        source.alias("source"), F.date_trunc("HOUR", wall.cast("timestamp_ntz")).cast("timestamp_ntz").alias("hour_"), F.greatest(F.lit(-day), F.least(F.lit(day), least)).alias("least_"),
+        F.greatest(F.lit(-day), F.least(F.lit(day), most)).alias("most_"), (F.lit(True) if trusted is None else F.coalesce(trusted, F.lit(False))).alias("trusted_"),
     )
-    return counted.groupBy("source").agg(F.min_by("zone", F.struct("wrong_", "sum_", "zone")).alias("zone"))
+    counted = rows.where("source is not null and hour_ is not null and (least_ is not null or most_ is not null)").groupBy("source", "hour_", "least_", "most_", "trusted_").agg(F.count("*").alias("n_"))
+    tried = counted.withColumn("zone", F.explode(F.array(*[F.lit(z) for z in sorted(candidates)])))
+    offset = F.timestamp_diff("MINUTE", F.convert_timezone(F.col("zone"), F.lit("UTC"), F.col("hour_")), F.col("hour_"))
+    beyond = F.greatest(F.coalesce(F.col("least_") - F.col("offset_"), F.lit(0)), F.coalesce(F.col("offset_") - F.col("most_"), F.lit(0)), F.lit(0))
+    scored = tried.withColumn("offset_", offset).withColumn("beyond_", beyond)
+    wrong = F.when(F.col("beyond_") > 0, F.col("n_")).otherwise(0)
+    per = scored.groupBy("source", "zone").agg(
+        F.sum(F.when(F.col("trusted_"), wrong).otherwise(0)).alias("wrong_"), F.sum(F.when(F.col("trusted_"), F.lit(0)).otherwise(wrong)).alias("loose_"), F.sum(F.col("beyond_") * F.col("n_")).alias("far_")
+    )
+    least_wrong = per.groupBy("source").agg(F.min(F.struct("wrong_", "loose_")).alias("best_"))
+    # Sequences that are out of order violate every history alike: what chance explains (three deviations) does not speak against UTC.
+    level = F.col("loose_") <= F.col("best_.loose_") + 3 * F.sqrt(F.col("best_.loose_"))
+    tied = per.join(least_wrong, "source").where((F.col("wrong_") == F.col("best_.wrong_")) & level)
+    return tied.groupBy("source").agg(F.min_by("zone", F.struct(F.col("zone") != "UTC", "loose_", "far_", "zone")).alias("zone"))

@@ -51,5 +51,50 @@ def test_estimated_zone(spark, zone):
     days = spark.range(0, 300, 7).select(F.expr("timestamp_ntz'2024-01-01 12:00:00' + make_interval(0,0,0,cast(id as int))").alias("wall"), F.lit(zone).alias("zone"))
     rows = days.select(F.lit("s").alias("source"), "wall", (F.convert_timezone("zone", F.lit("UTC"), F.col("wall")) + F.expr("interval 20 second")).alias("seen"))
     rows = rows.unionByName(rows.limit(1).select(F.lit(None).cast("string").alias("source"), "wall", "seen"))
-    out = instants.estimate_zones(rows, F.col("source"), F.col("wall"), F.col("seen"), zones).collect()
+    rows = rows.withColumn("before", F.col("seen") - F.expr("interval 1 minute"))
+    out = instants.estimate_zones(rows, F.col("source"), F.col("wall"), F.col("before"), F.col("seen"), zones).collect()
     assert [(r["source"], r["zone"]) for r in out] == [("s", zone)]
+
+
+def test_sequence_bounds(spark):
+    import random
+
+    rng = random.Random(3)
+    rows = [(rng.choice("ab"), i, rng.choice([None, f"2024-01-01 00:{i % 60:02d}:00"])) for i in range(300)]
+    df = spark.createDataFrame(rows, "g string, n long, t string").withColumn("t", F.to_timestamp_ntz("t"))
+    for block in (7, 1000):
+        got = {r["n"]: (r["lower"], r["upper"]) for r in instants.sequence_bounds(df, ["g"], "n", F.col("t"), block).collect()}
+        known = {r["n"]: r["t"] for r in df.collect()}
+        for g, n, _ in rows:
+            own = [m for h, m, _ in rows if h == g and known[m] is not None]
+            before, after = [m for m in own if m < n], [m for m in own if m > n]
+            assert got[n] == (known[max(before)] if before else None, known[min(after)] if after else None)
+    assert instants.sequence_bounds(df.limit(0), ["g"], "n", F.col("t")).count() == 0
+
+
+def test_sequence_without_order_speaks_for_utc(spark):
+    wall = F.expr("timestamp_ntz'2024-03-01 00:00:00' + make_interval(0,0,0,0,cast(pmod(xxhash64(id), 9000) as int))")
+    other = F.expr("timestamp_ntz'2024-03-01 00:00:00' + make_interval(0,0,0,0,cast(pmod(xxhash64(id, 1), 9000) as int))")
+    df = spark.range(4000).select(F.lit("s").alias("source"), wall.alias("wall"), other.alias("lower"))
+    out = instants.estimate_zones(df, F.col("source"), F.col("wall"), F.col("lower"), F.lit(None).cast("timestamp_ntz"), ["Asia/Tokyo", "UTC", "Europe/Berlin"], F.lit(False)).collect()
+    assert [tuple(r) for r in out] == [("s", "UTC")]
+
+
+@pytest.mark.parametrize("hidden", ["Europe/Berlin", "America/New_York"])
+def test_found_uses_the_estimate_for_hidden_zones(spark, tmp_path, hidden):
+    """A source without a setting, whose bare local times lie between rows of other sources that state their instant, over a change of offset."""
+    from lodestrata.plans.instant_queries import p5_found
+
+    at = F.expr("timestamp_ntz'2024-02-01 00:00:00' + make_interval(0,0,0,0,0,cast(id * 37 as int))")
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), at.alias("at"), (F.col("id") % 3 == 0).alias("bare"))
+    local = F.date_format(F.convert_timezone(F.lit("UTC"), F.lit(hidden), F.col("at")), "yyyy-MM-dd HH:mm:ss")
+    stated = F.concat(F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+    docs = rows.select("doc_id", F.when(F.col("bare"), local).otherwise(stated).alias("crawled_at"), F.when(F.col("bare"), "unset").otherwise("other").alias("source"), "at", "bare")
+    docs.select("doc_id", "crawled_at", "source").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("other", "Asia/Kolkata", "dmy"), ("x", "Europe/Berlin", "dmy"), ("y", "America/New_York", "dmy"), ("z", "UTC", "dmy")], "source string, zone_name string, date_order string").write.parquet(f"{tmp_path}/source_settings.parquet")
+    spark.createDataFrame([], "hub_row long, created_at string, last_modified string, source string").write.parquet(f"{tmp_path}/source_huggingface_page1.parquet")
+    for name, key in (("source_openalex_page1", "work_row"), ("source_epoch", "epoch_row")):
+        spark.createDataFrame([], f"{key} long, publication_date string, source string").write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {r["row_key"]: r["normal"] for r in p5_found(spark, str(tmp_path)).collect()}
+    expected = {r["doc_id"]: r["n"] for r in docs.where("bare").select("doc_id", F.concat(F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000000Z")).alias("n")).collect()}
+    assert len(got) == 3000 and sum(got[k] == v for k, v in expected.items()) >= 0.99 * len(expected)
