@@ -60,27 +60,27 @@ def safe_filename(value: Column) -> Column:
     return (F.length(value).between(1, 1024) & ~value.startswith("/") & ~value.contains("\\") & ~value.rlike(r"[\x00-\x1f]") & ~bad).alias("safe")
 
 
+_PHRASE = re.compile(r"[\w.+\-]+(?: [\w.+\-]+){0,9}")
+
+
 def looks_distinctive(value: str, quoted: bool = False, strong: bool = False) -> bool:
-    """Whether a phrase has the typography of a name."""
+    """Whether a phrase of at most ten words and 140 signs has the typography of a name: quoted, or enough digits and capitals.
+
+    A capital that begins a word counts one, a digit or a capital inside a word two; a name needs one, a strong one two.
+    """
     words = value.split()
-    if not (2 <= len(value) <= 140 and 1 <= len(words) <= 10) or not any(map(str.isalpha, value)):
-        return False
-    if any(not c.isalnum() and c not in "_.+- " for c in value):
+    if len(value) not in range(2, 141) or not _PHRASE.fullmatch(" ".join(words)) or not re.search(r"[^\W\d_]", value):
         return False
-    if quoted:
-        return True
-    digit, upper = any(map(str.isdigit, value)), any(map(str.isupper, value))
-    if not strong:
-        return digit or upper
-    inner = any(c.isupper() for w in words for c in w[1:])
-    return digit or inner or sum(w[0].isupper() for w in words) >= 2
+    weight = sum(2 if c.isdigit() or (n and c.isupper()) else int(c.isupper()) for w in words for n, c in enumerate(w))
+    return quoted or weight >= 1 + strong
 
 
 # Words that make no family by themselves, and openings of ordinary headings.
 GENERIC_WORDS = frozenset("deep neural network networks model models operator operators architecture architectures".split())
-OPENINGS = frozenset("a an the this that".split())
+OPENINGS = ("a ", "an ", "the ", "this ", "that ")
 
 
 def looks_title_family(value: str) -> bool:
-    words = value.casefold().split()
-    return bool(words) and words[0] not in OPENINGS and any(w not in GENERIC_WORDS for w in words)
+    """Whether a phrase names a family: it has a word of its own and does not open like an ordinary heading."""
+    low = value.strip().casefold()
+    return not f"{low} ".startswith(OPENINGS) and bool(set(low.split()) - GENERIC_WORDS)

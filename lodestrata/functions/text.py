@@ -55,19 +55,28 @@ def reconstruct_abstract(index: Column) -> Column:
     return F.coalesce(F.array_join(F.transform(kept, lambda x: x["t"]), " "), F.lit(""))
 
 
-_SHOWN = re.compile(rb"\(([^()]{2,})\)\s*Tj")
-_STREAM = re.compile(rb"stream\r?\n(.*?)\r?\nendstream", re.S)
+def _shown(content: bytes) -> list[bytes]:
+    """The operands of at least two bytes, without brackets inside, of the text operators in a content stream."""
+    found = []
+    for piece in content.split(b"Tj")[:-1]:
+        operand = piece.rstrip()
+        begin = operand.rfind(b"(")
+        string = operand[begin + 1 : -1]
+        if begin >= 0 and operand.endswith(b")") and b")" not in string and len(string) > 1:
+            found.append(string)
+    return found
 
 
 def pdf_text(data: bytes) -> str:
-    """Shown strings of a PDF, also of its deflated streams."""
-    shown = [m[1] for m in _SHOWN.finditer(data)]
-    for stream in _STREAM.finditer(data):
+    """Shown strings of a PDF, then those of its deflated streams."""
+    found = _shown(data)
+    for piece in data.split(b"endstream")[:-1]:
+        packed = piece.partition(b"stream")[2].removeprefix(b"\r").removeprefix(b"\n")
         try:
-            shown += [m[1] for m in _SHOWN.finditer(zlib.decompress(stream[1]))]
-        except zlib.error:
+            found += _shown(zlib.decompressobj().decompress(packed))
+        except zlib.error:  # a stream of another kind
             continue
-    return "\n".join(s.decode("latin-1") for s in shown)
+    return "\n".join(s.decode("latin-1") for s in found)
 
 
 @F.pandas_udf(T.StringType())
