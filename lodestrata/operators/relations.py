@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .checks import contradictions, duplicates
+from .skew import lookup_join
 
 
 def current_artifacts(artifacts: DataFrame) -> DataFrame:
@@ -96,3 +97,33 @@ def join_ordinal_merge(documents: DataFrame, candidates: DataFrame, relations: D
 
 def row_number_first(df: DataFrame, partition: list[str], order: list[Column]) -> DataFrame:
     return df.withColumn("rn_", F.row_number().over(W.partitionBy(*partition).orderBy(*order))).where("rn_ = 1").drop("rn_")
+
+
+def control_records(artifacts: DataFrame, revisions: DataFrame, source: str, record_type: str, limit: int) -> DataFrame:
+    """source_record_id, raw_json: the first limit current active catalog records of a source whose raw record_type is the given one, by id."""
+    current = current_artifacts(artifacts).where((F.col("source") == source) & (F.col("kind") == "catalog_record"))
+    found = revisions.select(F.col("id").alias("current_revision_id"), "raw_json").where(F.get_json_object("raw_json", "$.record_type") == record_type)
+    return current.join(found, "current_revision_id").select("source_record_id", "raw_json").orderBy("source_record_id").limit(limit)
+
+
+def connected_artifacts(identifiers: DataFrame, links: DataFrame, addresses: DataFrame) -> DataFrame:
+    """source_id, target_id, connection, direction, namespace, value, locator: how artifacts are connected, each edge once.
+
+    identifiers: artifact_id, namespace, value; artifacts that share one are a star around the least of them, not all
+    pairs. links: artifact_id, url, relation, locator, and addresses: url, artifact_id: an artifact that links to
+    another's address has an edge to it (out), the other one back (in); namespace is the relation and value the URL.
+    """
+    star = join_identity_star(identifiers, ["namespace", "value"], "artifact_id", F.lit(1.0), F.lit("")).select(
+        "source_id", "target_id", F.lit("identifier").alias("connection"), F.lit("shared").alias("direction"), "namespace", "value", F.lit("").alias("locator")
+    )
+    owners = addresses.groupBy("url").agg(F.min("artifact_id").alias("target_id"))
+    linked = lookup_join(links.select(F.col("artifact_id").alias("source_id"), "url", "relation", "locator").distinct(), owners, ["url"], how="inner").where("source_id <> target_id")
+    columns = [F.lit("url").alias("connection"), F.lit("out").alias("direction"), F.col("relation").alias("namespace"), F.col("url").alias("value"), F.coalesce("locator", F.lit("")).alias("locator")]
+    out = linked.select("source_id", "target_id", *columns)
+    back = out.select(F.col("target_id").alias("source_id"), F.col("source_id").alias("target_id"), "connection", F.lit("in").alias("direction"), "namespace", "value", "locator")
+    return star.unionByName(out).unionByName(back).distinct()
+
+
+def artifact_classes(edges: DataFrame) -> DataFrame:
+    """artifact_id, links: the number of edges of each connected artifact."""
+    return edges.groupBy(F.col("source_id").alias("artifact_id")).agg(F.count("*").alias("links"))

@@ -19,11 +19,17 @@ def search_rank(name: Column, identifier: Column, query: str) -> Column:
     return F.when(name == q, 0).when(name.startswith(q), 1).when(identifier.contains(q), 0).when(name.contains(q), 2)
 
 
+def _at_most(limit: int, most: int) -> int:
+    if not 0 <= limit <= most:
+        raise ValueError(f"at most {most} rows can be asked for, not {limit}")
+    return limit
+
+
 def topk_search(models: DataFrame, query: str, limit: int = 50) -> DataFrame:
     """id, name, confidence, rank of the best matches: by rank, confidence, name, id. models has id, name, normalized_name, identifier, confidence."""
     ranked = models.withColumn("rank", search_rank(F.col("normalized_name"), F.col("identifier"), query)).where("rank is not null")
-    best = ranked.groupBy("id").agg(F.min_by(F.struct("name", "confidence", "rank"), F.struct("rank", "name")).alias("m"))
-    return best.select("id", "m.*").orderBy("rank", F.desc("confidence"), "name", "id").limit(min(limit, 500))
+    best = ranked.groupBy("id").agg(F.min_by(F.struct("name", "confidence", "rank"), F.struct("rank", "name", "confidence")).alias("m"))
+    return best.select("id", "m.*").orderBy("rank", F.desc("confidence"), "name", "id").limit(_at_most(limit, 500))
 
 
 def topk_frontier_claim(frontier: DataFrame, now: Column, limit: int, lease_seconds: int = 3600, refresh_seconds: int = 86400) -> DataFrame:
@@ -33,13 +39,13 @@ def topk_frontier_claim(frontier: DataFrame, now: Column, limit: int, lease_seco
         | (F.col("status").isin("done", "failed") & (F.col("last_fetched_at") <= now - F.make_dt_interval(secs=F.lit(refresh_seconds).cast("decimal(18,6)"))))
         | ((F.col("status") == "claimed") & (F.col("claimed_at") <= now - F.make_dt_interval(secs=F.lit(lease_seconds).cast("decimal(18,6)"))))
     )
-    claimed = frontier.where(due).orderBy(F.col("last_fetched_at").isNotNull(), "first_seen_at", "url").limit(min(limit, MOST_ROWS))
+    claimed = frontier.where(due).orderBy(F.col("last_fetched_at").isNotNull(), "first_seen_at", "url").limit(_at_most(limit, MOST_ROWS))
     return claimed.withColumns({"status": F.lit("claimed"), "attempts": F.col("attempts") + 1, "claimed_at": now})
 
 
 def topk_by_status(df: DataFrame, status: str | None, order: list[str], limit: int, column: str = "status") -> DataFrame:
     """Rows of a status (all for None), sorted; for frontier and dead letters."""
-    return (df.where(F.col(column) == status) if status is not None else df).orderBy(*order).limit(min(limit, MOST_ROWS))
+    return (df.where(F.col(column) == status) if status is not None else df).orderBy(*order).limit(_at_most(limit, MOST_ROWS))
 
 
 # Suffixes of weight files and of files never fetched.

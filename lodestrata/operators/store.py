@@ -163,10 +163,28 @@ def sink_commit(tables: dict[str, DataFrame], root: str) -> dict:
         json.dump(manifest, out, sort_keys=True)
         out.flush()
         os.fsync(out.fileno())
-    os.replace(f"{root}/HEAD.{commit}", f"{root}/HEAD.json")
+    _move_head(root, commit, manifest["parent"])
     return manifest
 
 
+def _move_head(root: str, commit: str, parent: str | None) -> None:
+    """Moves HEAD from its parent to commit; another commit in between, or one that is being made, is an error."""
+    try:
+        lock = os.open(f"{root}/HEAD.lock", os.O_CREAT | os.O_EXCL)
+    except FileExistsError:
+        os.remove(f"{root}/HEAD.{commit}")
+        raise Violation("another commit is being made") from None
+    try:
+        head = read_head(root)
+        if (head and head["commit"]) != parent:
+            os.remove(f"{root}/HEAD.{commit}")
+            raise Violation("HEAD has moved since the commit was begun")
+        os.replace(f"{root}/HEAD.{commit}", f"{root}/HEAD.json")
+    finally:
+        os.close(lock)
+        os.remove(f"{root}/HEAD.lock")
+
+
 def read_head(root: str) -> dict | None:
     try:
         with open(f"{root}/HEAD.json") as head:

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import names, text, urls
-from ..operators import checks, entries, extract, relations, replay, serve, store
+from ..operators import checks, coverage, entries, extract, relations, replay, serve, store
 from ..session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -316,7 +316,7 @@ def join_url_targets(spark, folder):
 def join_url_ids(spark, folder):
     pages = table(spark, folder, "documents").select("doc_id", F.expr(_PLAIN_URL).alias("url"))
     frontier = pages.groupBy("url").agg(F.min("doc_id").alias("url_id"))
-    return pages.join(frontier, "url").select("doc_id", "url_id")
+    return coverage.url_ids(pages, frontier).select("doc_id", "url_id")
 
 
 @query("""
@@ -362,48 +362,50 @@ def join_ordinal_merge(spark, folder):
 
 
 @query("""
-with h as (select distinct id, f.rfilename file from (select id, unnest(siblings) f from source_huggingface_page1) where f.rfilename like '%.safetensors')
-select a.id source_id, count(*) shared from h a join h b on a.file = b.file and split_part(a.id, '/', 1) = split_part(b.id, '/', 1) and a.id <> b.id group by all""")
+with i as (select distinct sha value, id from source_huggingface_page1 where sha is not null and id is not null), a as (select value, min(id) anchor, count(*) n from i group by all),
+l as (select distinct id source_id, 'https://hub.example/' || b url from (select id, unnest(base_models) b from source_huggingface_page1) where b is not null), o as (select distinct 'https://hub.example/' || id url, id target_id from source_huggingface_page1),
+e as (select source_id, target_id, url from l join o using (url) where source_id <> target_id)
+select anchor source_id, id target_id, 'identifier' connection, 'shared' direction, 'sha' namespace, value, '' locator from i join a using (value) where n > 1 and id <> anchor
+union all select source_id, target_id, 'url', 'out', 'base_model', url, '' from e union all select target_id, source_id, 'url', 'in', 'base_model', url, '' from e""")
 def join_connected_artifacts(spark, folder):
-    hub = table(spark, folder, "source_huggingface_page1").select(F.col("id").alias("artifact_id"), F.explode("siblings.rfilename").alias("file")).where("file like '%.safetensors'").distinct()
-    keyed = hub.withColumn("key", F.concat_ws("/", F.element_at(F.split("artifact_id", "/"), 1), "file"))
-    sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")  # an artifact meets all others of a key: counted, not paired
-    return keyed.join(sizes, "key").groupBy(F.col("artifact_id").alias("source_id")).agg(F.sum(F.col("n") - 1).alias("shared"))
+    hub = table(spark, folder, "source_huggingface_page1")
+    address = F.concat(F.lit("https://hub.example/"), "id").alias("url")
+    identifiers = hub.where("sha is not null").select(F.col("id").alias("artifact_id"), F.lit("sha").alias("namespace"), F.col("sha").alias("value"))
+    bases = hub.select(F.col("id").alias("artifact_id"), F.explode("base_models").alias("base")).where("base is not null")
+    links = bases.select("artifact_id", F.concat(F.lit("https://hub.example/"), "base").alias("url"), F.lit("base_model").alias("relation"), F.lit(None).cast("string").alias("locator"))
+    return relations.connected_artifacts(identifiers, links, hub.select(address, F.col("id").alias("artifact_id")))
 
 
 @query("select m.id, count(distinct a.model_row) declared, count(distinct a.canonical_name) names from (select distinct id from models where status = 'released') m join models a using (id) group by all")
 def join_model_declarations(spark, folder):
     models = table(spark, folder, "models")
-    released = models.where("status = 'released'").select("id").distinct()
-    return released.join(models, "id").groupBy("id").agg(F.count_distinct("model_row").alias("declared"), F.count_distinct("canonical_name").alias("names"))
+    return coverage.model_declarations(models.where("status = 'released'"), models, "id", "model_row", "canonical_name")
 
 
 @query(f"with u as (select doc_id, source, {_PLAIN_URL} url from documents), t as (select url, max(doc_id) target from u group by all) select doc_id, source, target from u left join t using (url)")
 def join_export_links(spark, folder):
     pages = table(spark, folder, "documents").select("doc_id", "source", F.expr(_PLAIN_URL).alias("url"))
-    last = pages.groupBy("url").agg(F.max("doc_id").alias("target"))  # of several artifacts with one address the last wins
-    return pages.join(last, "url", "left").select("doc_id", "source", "target")
+    return coverage.export_links(pages, pages.withColumnRenamed("doc_id", "artifact_id")).select("doc_id", "source", "target")
 
 
 @query("with k as (select distinct source_record_id from paper_state where not tombstone) select distinct l.source_record_id from lake_records l semi join k using (source_record_id)")
 def join_seed_resources(spark, folder):
-    live = table(spark, folder, "paper_state").where("not tombstone").select("source_record_id").distinct()
-    return table(spark, folder, "lake_records").join(live, "source_record_id", "left_semi").select("source_record_id").distinct()
+    return coverage.seed_resources(table(spark, folder, "lake_records"), table(spark, folder, "paper_state").where("not tombstone"), "source_record_id")
 
 
 @query("with f as (select source_record_id, count(*) n from lake_records where content_sha256 like '0%' group by all) select p.source_record_id, coalesce(n, 0) failures from paper_state p left join f using (source_record_id) where not tombstone and coalesce(n, 0) < 2")
 def join_alphaxiv_eligible(spark, folder):
-    failed = table(spark, folder, "lake_records").where("content_sha256 like '0%'").groupBy("source_record_id").agg(F.count("*").alias("failures"))
-    known = table(spark, folder, "paper_state").where("not tombstone").select("source_record_id")
-    return known.join(failed, "source_record_id", "left").fillna(0, ["failures"]).where("failures < 2")
+    failed = table(spark, folder, "lake_records").where("content_sha256 like '0%'")
+    return coverage.eligible(table(spark, folder, "paper_state").where("not tombstone"), failed, "source_record_id", 2)
 
 
 @query("""
 with n as (select distinct trim(regexp_replace(lower(canonical_name), '[^a-z0-9_]+', ' ', 'g')) name from models where status = 'released')
 select epoch_row, n.name is not null found from source_epoch left join n on n.name = trim(regexp_replace(lower(model), '[^a-z0-9_]+', ' ', 'g'))""")
 def join_coverage(spark, folder):
-    index = table(spark, folder, "models").where("status = 'released'").select(names.normalize_name("canonical_name").alias("name"), F.lit(True).alias("found")).distinct()
-    return table(spark, folder, "source_epoch").select("epoch_row", names.normalize_name("model").alias("name")).join(index, "name", "left").select("epoch_row", F.coalesce("found", F.lit(False)).alias("found"))
+    index = table(spark, folder, "models").where("status = 'released'").select(names.normalize_name("canonical_name").alias("name"))
+    wanted = table(spark, folder, "source_epoch").select("epoch_row", names.normalize_name("model").alias("name"))
+    return coverage.covered(wanted, index).select("epoch_row", "found")
 
 
 # ---- aggregates and rankings
@@ -417,7 +419,7 @@ def agg_stats(spark, folder):
 
 @query("select source, count(*) artifacts, count(*) filter (text is not null) active, count(distinct content_sha256) revisions from documents group by all")
 def agg_coverage_metrics(spark, folder):
-    return table(spark, folder, "documents").groupBy("source").agg(F.count("*").alias("artifacts"), F.count_if(F.col("text").isNotNull()).alias("active"), F.count_distinct("content_sha256").alias("revisions"))
+    return coverage.coverage_metrics(table(spark, folder, "documents"), "source", F.col("text").isNotNull(), "content_sha256")
 
 
 @query("select user_id source, max(event_id) id, arg_max(event_type, event_id) status from events group by all")
@@ -447,18 +449,21 @@ def agg_benchmark_recall(spark, folder):
 
 
 @query("""
-with a as (select source, count(*) artifacts from documents group by all), m as (select source, count(*) models from models group by all)
-select source, coalesce(artifacts, 0) artifacts, coalesce(models, 0) models, artifacts is not null and models is not null ready from a full join m using (source)""")
+with a as (select source, count(*) artifacts, count(*) filter (n > 0) candidates, coalesce(sum(n), 0)::bigint claims from (select distinct source, doc_id from documents) d left join (select l_orderkey doc_id, count(*) n from lineitem group by all) c using (doc_id) group by all),
+s as (select source, zone_name <> 'UTC' enabled from source_settings), k as (select source, max(epoch_row) % 2 = 0 complete from source_epoch where source is not null group by all)
+select source, coalesce(artifacts, 0) artifacts, coalesce(candidates, 0) candidates, coalesce(claims, 0) claims, s.enabled is not null configured, coalesce(enabled, false) enabled, complete is not null observed, coalesce(complete, false) complete,
+  coalesce(artifacts, 0) > 0 has_artifacts, coalesce(claims, 0) > 0 has_claims, coalesce(enabled and complete and artifacts > 0 and claims > 0, false) ready
+from s full join k using (source) full join a using (source)""")
 def agg_readiness(spark, folder):
-    a = table(spark, folder, "documents").groupBy("source").agg(F.count("*").alias("artifacts"))
-    m = table(spark, folder, "models").groupBy("source").agg(F.count("*").alias("models"))
-    both = a.join(m, "source", "full_outer").withColumn("ready", F.col("artifacts").isNotNull() & F.col("models").isNotNull())
-    return both.fillna(0, ["artifacts", "models"])
+    configured = table(spark, folder, "source_settings").select("source", (F.col("zone_name") != "UTC").alias("enabled"))
+    checkpoints = table(spark, folder, "source_epoch").where("source is not null").groupBy("source").agg((F.max("epoch_row") % 2 == 0).alias("complete"))
+    claims = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("artifact_id"))
+    return coverage.readiness(configured, checkpoints, table(spark, folder, "documents").select("source", F.col("doc_id").alias("artifact_id")), claims)
 
 
 @query("select event_type evidence_type, count(*) n from events group by all")
 def agg_relation_counts(spark, folder):
-    return table(spark, folder, "events").groupBy(F.col("event_type").alias("evidence_type")).agg(F.count("*").alias("n"))
+    return coverage.relation_counts(table(spark, folder, "events"), "event_type")
 
 
 @query("""
@@ -478,13 +483,13 @@ def agg_source_manifest(spark, folder):
 
 @query("select count(*) documents, count(*) filter (text like '%http%') with_urls, count(distinct source) sources from documents")
 def agg_projection_stats(spark, folder):
-    return table(spark, folder, "documents").agg(F.count("*").alias("documents"), F.count_if(F.col("text").like("%http%")).alias("with_urls"), F.count_distinct("source").alias("sources"))
+    return coverage.projection_stats(table(spark, folder, "documents"), {"with_urls": F.col("text").like("%http%")})
 
 
-@query("select replay_order.to_release release, count(distinct replay_order.diff_index) shards, count(*) \"rows\" from lake_records group by all union all select 'all', count(distinct replay_order.diff_index), count(*) from lake_records")
+@query("select replay_order.to_release release, count(distinct replay_order.diff_index) shards, count(*) \"rows\" from lake_records where replay_order.to_release is not null group by all union all select 'all', count(distinct replay_order.diff_index), count(*) from lake_records")
 def agg_lake_status(spark, folder):
     lake = table(spark, folder, "lake_records").select(F.col("replay_order.to_release").alias("release"), F.col("replay_order.diff_index").alias("diff"))
-    return lake.rollup("release").agg(F.count_distinct("diff").alias("shards"), F.count("*").alias("rows")).withColumn("release", F.coalesce("release", F.lit("all")))
+    return coverage.lake_status(lake, "release", "diff")
 
 
 _RANK = "case status when 'stub' then 0 when 'candidate' then 1 when 'documented' then 2 when 'released' then 3 end"
@@ -562,25 +567,24 @@ def join_evidence_attach(spark, folder):
     return entries.evidence_attach(evidence, owners).select("record", "candidate")
 
 
-@query("with u as (select id identifier, min(model_row) entry from models where id is not null group by all having count(distinct model_row) = 1) select m.model_row record, u.entry target_entry from models m left join u on u.identifier = m.id")
+@query("with u as (select id identifier, min(model_row) entry from models where id is not null group by all having count(distinct model_row) = 1) select m.model_row record, coalesce(case when m.status = 'released' then m.model_row end, u.entry) target_entry from models m left join u on u.identifier = m.id")
 def join_model_relation_target(spark, folder):
     models = table(spark, folder, "models")
     relations_ = models.select(F.col("model_row").alias("record"), F.lit("x").alias("target_local_id"), F.col("id").alias("target_identifier"))
-    members = models.limit(0).select(F.col("model_row").alias("record"), F.lit("x").alias("local_id"), F.col("model_row").alias("entry"))
+    members = models.where("status = 'released'").select(F.col("model_row").alias("record"), F.lit("x").alias("local_id"), F.col("model_row").alias("entry"))
     ids = models.where("id is not null").select(F.col("id").alias("identifier"), F.col("model_row").alias("entry"))
     return entries.model_relation_target(relations_, members, ids).select("record", "target_entry")
 
 
 @query(f"""
 with m as (select id, canonical_name, {_NAME.format('canonical_name')} n, coalesce(confidence, 0) c from models where id is not null and canonical_name is not null and not isnan(coalesce(confidence, 0))),
-r as (select *, case when n = 'zava' then 0 when n like 'zava%' then 1 when lower(id) like '%zava%' then 0 when n like '%zava%' then 2 end rank from m),
+r as (select *, case when n = 'model' then 0 when n like 'model%' then 1 when lower(id) like '%model%' then 0 when n like '%model%' then 2 end rank from m),
 b as (select id, arg_min(canonical_name, (rank, canonical_name, c)) "name", arg_min(c, (rank, canonical_name, c)) confidence, min(rank) rank from r where rank is not null group by all)
 select * from b order by rank, confidence desc, "name", id limit 50""")
 def topk_search(spark, folder):
     models = table(spark, folder, "models").where("id is not null and canonical_name is not null and not isnan(coalesce(confidence, 0))")
     shaped = models.select("id", F.col("canonical_name").alias("name"), names.normalize_name("canonical_name").alias("normalized_name"), F.col("id").alias("identifier"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"))
-    ordered = shaped.orderBy("confidence")
-    return serve.topk_search(ordered, "zava")
+    return serve.topk_search(shaped, "model")
 
 
 _FRONTIER = """
@@ -645,17 +649,17 @@ def sort_export_models(spark, folder):
 
 @query("select source from source_settings union select source from documents union select source from models")
 def set_union(spark, folder):
-    return table(spark, folder, "source_settings").select("source").union(table(spark, folder, "documents").select("source")).union(table(spark, folder, "models").select("source")).distinct()
+    return coverage.union_of(*[table(spark, folder, t).select("source") for t in ("source_settings", "documents", "models")])
 
 
 @query("select replay_order.to_release release from lake_records intersect select to_release from paper_state")
 def set_intersect(spark, folder):
-    return table(spark, folder, "lake_records").select(F.col("replay_order.to_release").alias("release")).intersect(table(spark, folder, "paper_state").select("to_release"))
+    return coverage.intersection_of(table(spark, folder, "lake_records").select(F.col("replay_order.to_release").alias("release")), table(spark, folder, "paper_state").select(F.col("to_release").alias("release")))
 
 
 @query("select distinct source_record_id from lake_records except select source_record_id from paper_state")
 def set_except(spark, folder):
-    return table(spark, folder, "lake_records").select("source_record_id").exceptAll(table(spark, folder, "paper_state").select("source_record_id")).distinct().join(table(spark, folder, "paper_state"), "source_record_id", "left_anti").select("source_record_id")
+    return coverage.difference_of(table(spark, folder, "lake_records").select("source_record_id"), table(spark, folder, "paper_state").select("source_record_id"))
 
 
 # ---- store
@@ -755,7 +759,7 @@ def model_detail(spark, folder):
 
 @query("select sha release_id, count(distinct id) models, min(last_modified) first_seen from source_huggingface_page1 group by all")
 def model_releases_detail(spark, folder):
-    return table(spark, folder, "source_huggingface_page1").groupBy(F.col("sha").alias("release_id")).agg(F.count_distinct("id").alias("models"), F.min("last_modified").alias("first_seen"))
+    return coverage.releases_of_model(table(spark, folder, "source_huggingface_page1"), "sha", "id", "last_modified")
 
 
 @query("with c as (select source_record_id k, content_sha256 h from paper_state) select distinct l.source_record_id, l.content_sha256 from lake_records l where not exists (select 1 from c where c.k = l.source_record_id and c.h = l.content_sha256)")
@@ -767,12 +771,13 @@ def late_data(spark, folder):
 
 @query()
 def extract_intro_cues(spark, folder):
-    documents = table(spark, folder, "documents").select("doc_id", F.lit("").alias("title"), "text", F.lit("web_page").alias("kind"))
+    documents = table(spark, folder, "documents").select("doc_id", F.lit("Neural network cards").alias("title"), "text", F.lit("model_card").alias("kind"))
     return extract.extract_intro_cues(documents, "doc_id")
 
 
 @query()
 def candidates_s2(spark, folder):
-    papers = table(spark, folder, "paper_state").where("not tombstone").select("source_record_id", "title", F.lit("").alias("text"), F.lit("paper").alias("kind"))
+    abstract = F.coalesce(F.get_json_object("raw_payload_json", "$.abstract"), F.get_json_object("raw_payload_json", "$.title"), "title")
+    papers = table(spark, folder, "paper_state").where("not tombstone").select("source_record_id", F.concat(F.lit("Neural network "), F.coalesce("title", F.lit(""))).alias("title"), abstract.alias("text"), F.lit("model_card").alias("kind"))
     found = extract.extract_intro_cues(papers, "source_record_id")
     return found.withColumn("id", names.stable_id("candidate", F.col("source_record_id"), F.col("locator"), F.col("normalized_name")))

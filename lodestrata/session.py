@@ -48,6 +48,8 @@ def _shared_folder(df: DataFrame) -> str:
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="lodestrata-checkpoint-"))
     folder = f"{context._jsc.sc().getCheckpointDir().get()}/tables"
     if folder not in _folders:

@@ -114,11 +114,33 @@ def ready(found: list[dict], datasets: set[str]) -> list[str]:
     return sorted(r for r, d in have.items() if datasets <= d)
 
 
-def plan(landed: set[str], controls: DataFrame, order: list[str], budget: int) -> DataFrame:
-    """The next shards to load: controls (source, dataset, release, shard) not landed yet, in order, at most budget; a repeated control is an error."""
+def plan(landed: DataFrame, controls: DataFrame, order: list[str], budget: int) -> DataFrame:
+    """The next shards to load: controls (source, dataset, release, shard) not among the landed ones, in order, at most budget; a repeated control is an error."""
     keys = ["source", "dataset", "release", "shard"]
     assert_empty(controls.groupBy(*keys).count().where("count > 1"), "repeated control")
-    return controls.where(~F.col("shard").isin(*landed) if landed else F.lit(True)).orderBy(*order).limit(budget)
+    return controls.join(landed.select(*keys), keys, "left_anti").orderBy(*order).limit(budget)
+
+
+def projection_plan(seals: DataFrame, release: str, datasets: set[str]) -> dict:
+    """mode, base_release, transitions and inputs of a projection of a release; whatever is ambiguous is an error.
+
+    seals has dataset, release, mode, digest and, for diffs, diff_index, from_release, to_release: a row per
+    dataset and transition, as many as a release has diffs. All datasets must be sealed in one mode and
+    agree in their transitions, which must lead from one release to the next up to the planned one.
+    """
+    rows = [r.asDict() for r in seals.where((F.col("release") == release) & F.col("dataset").isin(*sorted(datasets))).distinct().collect()]
+    missing = datasets - {r["dataset"] for r in rows}
+    modes, digests = {r["mode"] for r in rows}, {(r["dataset"], r["digest"]) for r in rows}
+    if missing or len(modes) != 1 or len(digests) != len(datasets):
+        raise Violation(f"release {release}: missing {sorted(missing)}, modes {sorted(modes)}, {len(digests)} seals")
+    mode = modes.pop()
+    steps: dict[str, list] = {d: sorted((r["diff_index"], r["from_release"], r["to_release"]) for r in rows if r["dataset"] == d) for d in datasets} if mode == "diff" else {}
+    chain = next(iter(steps.values()), [])
+    if any(s != chain for s in steps.values()):
+        raise Violation(f"release {release}: the datasets disagree in their transitions")
+    if chain and (any(a[2] != b[1] for a, b in zip(chain, chain[1:])) or chain[-1][2] != release or len({n for n, _, _ in chain}) != len(chain)):
+        raise Violation(f"release {release}: its transitions do not lead to it")
+    return {"release": release, "mode": mode, "base_release": chain[0][1] if chain else None, "transitions": chain, "inputs": sorted(digests)}
 
 
 def projection(df: DataFrame, root: str, name: str, inputs: dict) -> str:

@@ -132,9 +132,10 @@ def test_lake(spark, tmp_path):
     assert lake.releases(root) == [{"source": "s", "dataset": "papers", "release": "2026-01", "shards": 1, "rows": 3}]
     assert lake.ready(lake.releases(root), {"papers"}) == ["2026-01"] and lake.ready(lake.releases(root), {"papers", "abstracts"}) == []
     controls = spark.createDataFrame([("s", "papers", "r", str(i)) for i in range(4)], "source string, dataset string, release string, shard string")
-    assert [r["shard"] for r in lake.plan({"0"}, controls, ["shard"], 2).collect()] == ["1", "2"]
+    assert [r["shard"] for r in lake.plan(controls.where("shard = '0'"), controls, ["shard"], 2).collect()] == ["1", "2"]
+    assert lake.plan(controls.where("shard = '0'").withColumn("release", F.lit("another")), controls, ["shard"], 2).first()["shard"] == "0"
     with pytest.raises(Violation):
-        lake.plan(set(), controls.union(controls), ["shard"], 2)
+        lake.plan(controls.limit(0), controls.union(controls), ["shard"], 2)
 
 
 def test_projection_and_export(spark, tmp_path):
