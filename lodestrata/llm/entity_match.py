@@ -181,7 +181,8 @@ def _owners(a: pd.Series, b: pd.Series) -> pd.Series:
 
 def _alike(ours: DataFrame, theirs: DataFrame) -> DataFrame:
     """core, other, close: pairs of distinct cores (theirs, ours) that share a band and are close."""
-    pairs = _bands(theirs).join(_bands(ours).withColumnRenamed("core", "other"), "band").select("core", "other").distinct()
+    # The planner takes bands for as small as the cores they are made of: they must not be broadcast.
+    pairs = _bands(theirs).join(_bands(ours).withColumnRenamed("core", "other").hint("merge"), "band").select("core", "other").distinct()
     return pairs.withColumn("close", _likeness("core", "other")).where(F.col("close") >= CLOSE)
 
 
