@@ -148,3 +148,9 @@ def test_string_hashes():
     assert len(set(numbers.tolist())) == len(strings) and numbers.min() >= 0
     assert line_nodes.hashes(pa.array(strings).slice(19_000, 900)).tolist() == numbers[19_000:19_900].tolist()
     assert abs(float((numbers % 2).mean()) - 0.5) < 0.02 and len(line_nodes.hashes(pa.array([], pa.string()))) == 0
+
+
+def test_wordings_of_marked_and_counted_lines():
+    for line, bare in (("12) Notes on Baku (3)", "Notes on Baku"), (" - Notes on Baku ", "Notes on Baku"), ("( Notes on Baku", "Notes on Baku"), ("٣. Notes on Baku", "Notes on Baku"), ("Notes on Baku (1,234) ", "Notes on Baku")):
+        assert b.skeleton(line) == b.skeleton(bare) == "C on C"
+    assert b.skeleton("(3)") == "" and b.skeleton("Done (3).") == "" and b.skeleton("all of it") == "x of x" and b.skeleton("open models") == "x models" and b.skeleton("") == ""

@@ -1,5 +1,6 @@
 import random
 
+from lodestrata.llm import boilerplate as b
 from lodestrata.llm import truncation as t
 
 STARTS = ["The", "Our new", "A", "In short, the", "Each", "Every small", "This", "That old", "Some say the", "One", "No", "Even the"]
@@ -130,3 +131,15 @@ def test_openings_share_their_bands():
         assert tails[0] != tails[1] and stops[0] in t.Signer.shingles(words).view("int64")[:-1]
         assert len(short) == (n + 1) * t.BANDS and short[t.BANDS :] == whole[t.BANDS : (n + 1) * t.BANDS]
     assert sign.bands([[], words[:3]])[0][0] == [] and len(sign.bands([words[:3]])[0][0]) == t.BANDS and sign.bands([])[0] == []
+
+
+def test_pages_are_read_once(spark, tmp_path, monkeypatch):
+    """Their lines are told once and kept; the ends and the bodies of near-copies come from there."""
+    rows, cut = corpus(6)
+    path = f"{tmp_path}/documents.parquet"
+    spark.createDataFrame(rows, SCHEMA).write.parquet(path)
+    readers = []
+    for module in (b, t):
+        monkeypatch.setattr(module, "cut_lineage", lambda df, cut_lineage=module.cut_lineage: (readers.append(df.columns) if any(path in f for f in df.inputFiles()) else None, cut_lineage(df))[1])
+    found = {r["doc_id"] for r in t.truncated(spark.read.parquet(path)).collect()}
+    assert len(readers) == 1 and len(cut & found) >= 0.93 * len(cut)
